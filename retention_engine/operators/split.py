@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_key, hash_uniform
+from ..session import materialize
 from .ranking import running_totals
 
 TEST_SHARE = 0.20
@@ -34,14 +35,14 @@ def stratified_split(df: DataFrame, label: str = "y", id_col: str = "customer_id
     n_val = F.ceil(F.round((F.col("_n") - n_test) * val_share_of_rest, 9))
     split = (F.when(F.col("_rn") <= n_test, "test")
               .when(F.col("_rn") <= n_test + n_val, "val").otherwise("train"))
-    return r.withColumn("split", split).drop("_rn", "_n")
+    return materialize(r.withColumn("split", split).drop("_rn", "_n"), "split")
 
 
 def stratified_folds(df: DataFrame, k: int = 5, label: str = "y", id_col: str = "customer_id",
                      seed: str = SEED) -> DataFrame:
     """Adds ``fold`` = (rank in stratum − 1) mod k: fold sizes per stratum differ by at most one."""
     r = _stratum_rank(df, label, id_col, seed)
-    return r.withColumn("fold", ((F.col("_rn") - 1) % k).cast("int")).drop("_rn", "_n")
+    return materialize(r.withColumn("fold", ((F.col("_rn") - 1) % k).cast("int")).drop("_rn", "_n"), "folds")
 
 
 def repeated_folds(df: DataFrame, k: int = 5, reps: int = 3, label: str = "y",
