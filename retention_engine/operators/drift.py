@@ -86,6 +86,9 @@ def compare_numeric(baseline: DataFrame, window: DataFrame, features: Sequence[s
     feats = [f for f in (features or window.columns)]
     base_feats = [r["feature"] for r in baseline.select("feature").distinct().collect()]   # ≤ #features
     feats = [f for f in feats if f in base_feats and f in window.columns]
+    if not feats:          # nothing measured: an empty report, not a report of zeros
+        return window.sparkSession.createDataFrame(
+            [], "feature string, kind string, psi double, class string, n long, mean_ref double, mean_window double")
     long = long_numeric(window, feats)
     wp = bin_proportions(long, baseline.select("feature", "edges"), round_props=False)
     ep = baseline.select("feature", F.posexplode("props").alias("bin", "e"))
@@ -104,6 +107,9 @@ def compare_categorical(baseline: DataFrame, window: DataFrame, features: Sequen
     feats = [f for f in (features or window.columns)]
     base_feats = [r["feature"] for r in baseline.select("feature").distinct().collect()]
     feats = [f for f in feats if f in base_feats and f in window.columns]
+    if not feats:
+        return window.sparkSession.createDataFrame(
+            [], "feature string, kind string, psi double, class string, n long, unseen string")
     long = long_categorical(window, feats).where(F.col("level").isNotNull())
     wc = long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("c"))
     wn = wc.groupBy("feature").agg(F.sum("c").alias("n"))
