@@ -3,11 +3,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import materialize
 from ..sources import adapters
 
 
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapters.customer_snapshot(spark, sf_dir)
+    """The customer snapshot, derived from the tables and written once to the shared checkpoint folder
+    for this query: every operator branch then reads one Parquet relation instead of re-planning (and
+    re-running) the five-table derivation, and the lineage is cut."""
+    return materialize(adapters.customer_snapshot(spark, sf_dir), "snapshot")
 
 
 def log(spark: SparkSession, sf_dir: str, homogeneous: bool = False) -> DataFrame:

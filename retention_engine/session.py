@@ -15,9 +15,19 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # PySpark 4 records a Python call site on every Column/DataFrame call (extra JVM round trips);
+    # the operators build plans programmatically, so keep plan construction cheap.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Session settings the operators rely on, applied to a session created elsewhere (runtime confs
+    only; the static call-site setting above can only be chosen when the session is built)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def get_session(master: str | None = None, app: str = "retention_engine",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every operator assumes (UTC, AQE, no UI)."""
