@@ -31,11 +31,20 @@ def score_histogram(df: DataFrame, score: str = "score", label: str = "y",
               .withColumn("neg", F.col("n") - F.col("pos")))
 
 
+def _hist_cumulative(h: DataFrame, gk: list[str], cols: Sequence[str], descending: bool) -> DataFrame:
+    """Inclusive running sums over the score histogram of each group. The histogram has at most
+    1,000,001 rows per group (6-dp scores) whatever the input size, so one ordered window per group
+    is bounded work; no row-level data is ever ordered in one task."""
+    o = F.col("score").desc() if descending else F.col("score").asc()
+    w = Window.partitionBy(*gk).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
+    return h.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in cols])
+
+
 def average_precision(df: DataFrame, score: str = "score", label: str = "y",
                       by: Sequence[str] = ()) -> DataFrame:
     """AP = Σ (R_n − R_{n−1}) P_n over distinct scores, descending (ties grouped). Null without positives."""
     h, gk = _group_keys(score_histogram(df, score, label, by), by)
-    h = running_totals(h, "score", ["n", "pos"], gk, descending=True)
+    h = _hist_cumulative(h, gk, ["n", "pos"], descending=True)
     out = h.groupBy(*gk).agg(
         r6(safe_div(F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n")), F.sum("pos"))).alias("ap"))
     return _drop_g(out, by)
@@ -44,7 +53,7 @@ def average_precision(df: DataFrame, score: str = "score", label: str = "y",
 def roc_auc(df: DataFrame, score: str = "score", label: str = "y", by: Sequence[str] = ()) -> DataFrame:
     """Probability a positive outranks a negative, ties counted half. Null with one class."""
     h, gk = _group_keys(score_histogram(df, score, label, by), by)
-    h = running_totals(h, "score", ["neg"], gk, descending=False)
+    h = _hist_cumulative(h, gk, ["neg"], descending=False)
     out = h.groupBy(*gk).agg(
         r6(safe_div(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg"))),
                     F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
@@ -77,29 +86,54 @@ def point_metrics(df: DataFrame, score: str = "score", label: str = "y", thresho
 
 def ranked(df: DataFrame, score: str = "score", label: str = "y", id_col: str = "customer_id",
            by: Sequence[str] = ()) -> DataFrame:
-    """Rows with ``_rn`` = rank by (score desc, id asc) within ``by`` and ``cum_<label>``."""
+    """Rows with ``_rn`` = rank by (score desc, id asc) within ``by`` and ``cum__y`` (running positives)."""
     d = df.select(*by, id_col, F.col(score).alias("_s"), F.col(label).cast("long").alias("_y"))
     d = d.withColumn("_key", score_id_key("_s", id_col))
     return running_totals(d, "_key", ["_y"], by)
 
 
+def top_n_hits(df: DataFrame, grid: DataFrame, gk: list[str], score: str = "score", label: str = "y",
+               id_col: str = "customer_id") -> DataFrame:
+    """Positives among the first ``cut`` rows by (score desc, id asc), for every (group, point, cut) of
+    ``grid`` — without ranking every row.
+
+    The cumulative score histogram locates, per cut, the boundary score and how many of its rows are
+    inside (m). Rows strictly above the boundary are counted from the histogram; only the rows sharing
+    the boundary score are ranked (by id, chunked — a tied block holding a third of the table is still
+    ranked by many tasks).
+    """
+    h = score_histogram(df, score, label, gk)
+    h = _hist_cumulative(h, gk, ["n", "pos"], descending=True)
+    b = (h.join(grid, gk)
+          .where((F.col("cum_n") - F.col("n") < F.col("cut")) & (F.col("cut") <= F.col("cum_n")))
+          .select(*gk, "point", "cut", "score", (F.col("cut") - (F.col("cum_n") - F.col("n"))).alias("m"),
+                  (F.col("cum_pos") - F.col("pos")).alias("before"), F.col("n").alias("n_b"),
+                  F.col("pos").alias("pos_b")))
+    whole = b.where(F.col("m") == F.col("n_b")).select(*gk, "point", (F.col("before") + F.col("pos_b")).alias("hits"))
+    part = b.where(F.col("m") < F.col("n_b")).select(*gk, "point", "score", "m", "before")
+    rows = df.select(*gk, id_col, F.round(F.col(score).cast("double"), 6).alias("score"),
+                     F.col(label).cast("long").alias("_y"))
+    tied = rows.join(part, gk + ["score"])
+    r = running_totals(tied, id_col, ["_y"], gk + ["point"])
+    cut_hits = r.where(F.col("_rn") == F.col("m")).select(*gk, "point", (F.col("before") + F.col("cum__y")).alias("hits"))
+    return whole.unionByName(cut_hits)
+
+
 def recall_at_k(df: DataFrame, score: str = "score", label: str = "y", id_col: str = "customer_id",
                 ks: Sequence[float] = OPERATIONAL_KS, by: Sequence[str] = ()) -> DataFrame:
     """Share of positives in the top ``ceil(k·N)`` rows (ties broken by id), lift = recall/k and the
     share of the structural ceiling ``min(k/prevalence, 1)``. One row per (group, k)."""
-    r, gk = _group_keys(ranked(df, score, label, id_col, by), by)
-    tot = r.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_p"))
+    d, gk = _group_keys(df, by)
+    tot = d.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_p"))
     kk = F.explode(F.array(*[F.lit(float(k)) for k in ks])).alias("k")
     grid = tot.select(*gk, "_n", "_p", kk).withColumn(
-        "_cut", F.ceil(F.round(F.col("k") * F.col("_n"), 9)).cast("long"))
-    hits = (r.join(grid, gk).where(F.col("_rn") <= F.col("_cut"))
-              .groupBy(*gk, "k").agg(F.sum("_y").alias("_hits")))
-    out = grid.join(hits, gk + ["k"], "left").select(
-        *gk, "k",
-        r6(safe_div(F.coalesce("_hits", F.lit(0)), F.col("_p"))).alias("recall_at_k"),
-    )
+        "cut", F.ceil(F.round(F.col("k") * F.col("_n"), 9)).cast("long")).withColumn("point", F.col("k"))
+    hits = top_n_hits(d, grid.select(*gk, "point", "cut"), gk, score, label, id_col)
+    out = grid.join(hits, gk + ["point"], "left").select(
+        *gk, "k", "_n", "_p",
+        r6(safe_div(F.coalesce("hits", F.lit(0)), F.col("_p"))).alias("recall_at_k"))
     prev = F.col("_p") / F.col("_n")
-    out = out.join(tot, gk).select(
+    out = out.select(
         *gk, "k", "recall_at_k",
         r6(F.col("recall_at_k") / F.col("k")).alias("lift_at_k"),
         r6(safe_div(F.col("recall_at_k"), F.least(safe_div(F.col("k"), prev), F.lit(1.0)))).alias("pct_ceiling"))
@@ -154,15 +188,16 @@ def trivial_costs(df: DataFrame, label: str = "y", by: Sequence[str] = (),
 def gain_curve(df: DataFrame, score: str = "score", label: str = "y", id_col: str = "customer_id",
                by: Sequence[str] = (), points: int = 100) -> DataFrame:
     """Cumulative gain at ``points`` contact fractions: captured share, ceiling min(f/prev,1), chance f."""
-    r, gk = _group_keys(ranked(df, score, label, id_col, by), by)
-    tot = r.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_p"))
+    d, gk = _group_keys(df, by)
+    tot = d.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_p"))
     grid = tot.select(*gk, "_n", "_p", F.explode(F.sequence(F.lit(1), F.lit(points))).alias("i")) \
-              .withColumn("_cut", F.ceil(F.round(F.col("i") * F.col("_n") / points, 9)).cast("long"))
-    hit = r.join(grid, gk).where(F.col("_rn") == F.col("_cut")).select(*gk, "i", "cum__y")
-    out = grid.join(hit, gk + ["i"], "left").select(
+              .withColumn("cut", F.ceil(F.round(F.col("i") * F.col("_n") / points, 9)).cast("long")) \
+              .withColumn("point", F.col("i").cast("double"))
+    hits = top_n_hits(d, grid.select(*gk, "point", "cut"), gk, score, label, id_col)
+    out = grid.join(hits, gk + ["point"], "left").select(
         *gk, r6(F.col("i") / points).alias("fraction"),
-        F.col("_cut").alias("contacted"),
-        r6(safe_div(F.coalesce("cum__y", F.lit(0)), F.col("_p"))).alias("captured"),
+        F.col("cut").alias("contacted"),
+        r6(safe_div(F.coalesce("hits", F.lit(0)), F.col("_p"))).alias("captured"),
         r6(F.least(safe_div(F.col("i") / points, F.col("_p") / F.col("_n")), F.lit(1.0))).alias("ceiling"),
         r6(F.col("i") / points).alias("chance"))
     return _drop_g(out, by)

@@ -267,3 +267,41 @@ def promote(spark, train: DataFrame, val: DataFrame, kind: str, zero, nums, cats
     out["round_trip_identical"] = diff == 0
     out["path"] = path
     return out
+
+
+def l1_selection(train: DataFrame, zero, nums, cats, label: str = "y", C: float = 1.0, eps: float = 1e-5):
+    """Embedded L1 selector: encoded features whose L1-LR coefficient magnitude exceeds ``eps``."""
+    m = fit_pipeline(train, "lr", zero, nums, cats, label=label, C=C, l1_ratio=1.0)
+    return [(n, b, abs(b) > eps) for n, b, _ in odds_ratios(m)]
+
+
+def dead_columns(coefs: Sequence[tuple[str, float]], tol: float = 1e-8) -> list[tuple[str, float, bool]]:
+    """An original column is dead only when ALL its encoded slots have |β| < tol."""
+    groups: dict[str, float] = {}
+    for name, b in coefs:
+        orig = name.split("=")[0].removesuffix("_z").removesuffix("_code")
+        groups[orig] = max(groups.get(orig, 0.0), abs(b))
+    return [(g, v, v < tol) for g, v in sorted(groups.items())]
+
+
+def rfe(train: DataFrame, zero, nums, cats, k: int, label: str = "y") -> list[str]:
+    """Recursive feature elimination on encoded features: refit LR, drop the smallest |β|, until k remain.
+    Each round is one distributed fit on an assembled vector of the surviving slots."""
+    from pyspark.ml.feature import VectorAssembler
+    prep = build_pipeline(classifier("lr", 1, label=label), zero, nums, cats).getStages()[0]
+    pm = prep.fit(train)
+    enc = pm.transform(train)
+    keep = pm.feature_names()
+    n = train.count()
+    while len(keep) > k:
+        va = VectorAssembler(inputCols=[f"`{c}`" if "=" in c else c for c in keep], outputCol="features",
+                             handleInvalid="keep")
+        try:
+            data = va.transform(enc)
+        except Exception:  # noqa: BLE001  (column names with '=' need no quoting in some versions)
+            data = VectorAssembler(inputCols=keep, outputCol="features", handleInvalid="keep").transform(enc)
+        lr = classifier("lr", n, label=label).fit(data)
+        coef = lr.coefficients.toArray()
+        drop = min(range(len(keep)), key=lambda i: (abs(coef[i]), keep[i]))
+        keep = keep[:drop] + keep[drop + 1:]
+    return keep

@@ -145,3 +145,15 @@ def identity_check(a: DataFrame, b: DataFrame, key: str, score: str = "score", t
                  F.count_if(F.col("s1").isNull() | F.col("s2").isNull()).alias("unmatched")) \
             .withColumn("identical", (F.col("max_abs_diff") <= tol) & (F.col("decisions_swapped") == 0)
                         & (F.col("unmatched") == 0))
+
+
+def random_search_configs(spark, n: int, axes: dict[str, tuple[float, float, bool]], seed: str = "42") -> DataFrame:
+    """``n`` random configurations: per axis a hash uniform mapped to [lo, hi], log-uniform when asked."""
+    from ..functions.columns import hash_uniform
+    d = spark.range(n).withColumnRenamed("id", "draw")
+    for name, (lo, hi, log) in axes.items():
+        u = hash_uniform(F.col("draw"), f"{seed}:{name}")
+        v = F.pow(F.lit(10.0), F.lit(math.log10(lo)) + u * (math.log10(hi) - math.log10(lo))) if log \
+            else F.lit(lo) + u * (hi - lo)
+        d = d.withColumn(name, v)
+    return d

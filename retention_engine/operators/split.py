@@ -47,13 +47,17 @@ def stratified_folds(df: DataFrame, k: int = 5, label: str = "y", id_col: str =
 
 def repeated_folds(df: DataFrame, k: int = 5, reps: int = 3, label: str = "y",
                    id_col: str = "customer_id", seed: str = SEED) -> DataFrame:
-    """(rep, fold) per row for ``reps`` repetitions; the same assignment for every candidate."""
-    parts = [stratified_folds(df, k, label, id_col, f"{seed}-{rep}").withColumn("rep", F.lit(rep))
-             for rep in range(reps)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(rep, fold) per row for ``reps`` repetitions; the same assignment for every candidate.
+
+    All repetitions are ranked in one pass (rows × reps, grouped by (label, rep)); repetition r uses
+    the hash salt ``{seed}-{r}``.
+    """
+    d = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
+    txt = F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}-"), F.col("rep").cast("string"))
+    d = d.withColumn("_h", F.conv(F.substring(F.md5(txt), 1, 15), 16, 10).cast("long")).withColumn("_one", F.lit(1))
+    r = running_totals(d, "_h", ["_one"], [label, "rep"], tiebreak=[id_col])
+    out = r.withColumn("fold", ((F.col("_rn") - 1) % k).cast("int")).drop("_rn", "_one", "cum__one", "_h")
+    return materialize(out, "repeated-folds")
 
 
 def holdout_flag(df: DataFrame, share: float, id_col: str = "customer_id", salt: str = "holdout") -> DataFrame:
@@ -81,3 +85,12 @@ def poisson_bootstrap_weights(df: DataFrame, replicates: int, id_col: str = "cus
     for i in reversed(range(len(cdf))):
         w = F.when(u < F.lit(cdf[i]), F.lit(i)).otherwise(w)
     return reps.withColumn("weight", w).where(F.col("weight") > 0)
+
+
+def holdout_split(df: DataFrame, share: float = 0.15, label: str = "y", id_col: str = "customer_id",
+                  seed: str = SEED) -> DataFrame:
+    """Inner stratified holdout: ``inner`` = first ceil(share·n) rows of each stratum in hash order."""
+    r = _stratum_rank(df, label, id_col, seed)
+    cut = F.ceil(F.round(F.col("_n") * share, 9))
+    return materialize(r.withColumn("part", F.when(F.col("_rn") <= cut, "inner_holdout").otherwise("fit"))
+                        .drop("_rn", "_n"), "holdout")

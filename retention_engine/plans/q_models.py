@@ -128,3 +128,47 @@ def q_unawareness_audit(spark, sf_dir):
         d = FA.disparity(FA.group_rates(s, ["region"], 0.29, score="probability"))
         out.append(d.withColumn("variant", F.lit(name)))
     return out[0].unionByName(out[1])
+
+
+@query("l1_selection", ops=("F15", "F16"))
+def q_l1_selection(spark, sf_dir):
+    """L1 logistic regression as selector (|β| > 1e-5 kept); an original column is dead only if all
+    its encoded slots are zero."""
+    tr, _ = _split(spark, sf_dir)
+    coefs = MD.l1_selection(tr, ZERO, NUMS, CATS, label=LABEL, C=0.05)
+    dead = MD.dead_columns([(n, b) for n, b, _ in coefs])
+    return spark.createDataFrame(dead, "original string, max_abs_coef double, dead boolean") \
+                .withColumn("max_abs_coef", r6("max_abs_coef"))
+
+
+@query("rfe_selection", ops=("F14",))
+def q_rfe_selection(spark, sf_dir):
+    """Recursive feature elimination of encoded features down to 8 (one distributed LR fit per round)."""
+    tr, _ = _split(spark, sf_dir)
+    keep = MD.rfe(tr, ZERO, NUMS, CATS, k=8, label=LABEL)
+    return spark.createDataFrame([(i, f) for i, f in enumerate(keep)], "position int, feature string")
+
+
+@query("categorical_mask", ops=("F9", "F10", "F8"))
+def q_categorical_mask(spark, sf_dir):
+    """Output feature names in assembled order with a flag for categorical (one-hot) slots."""
+    tr, _ = _split(spark, sf_dir)
+    from ..operators.prep import Preprocessor
+    names = Preprocessor(zeroCols=ZERO, numCols=NUMS, catCols=CATS).fit(tr).feature_names()
+    return spark.createDataFrame([(i, n, "=" in n) for i, n in enumerate(names)], "idx int, feature string, categorical boolean")
+
+
+@query("encoding_effect", ops=("V3",))
+def q_encoding_effect(spark, sf_dir):
+    """Same LR, one-hot vs ordinal encoding, on identical folds: Δ mean and Δ in std units."""
+    tr, _ = _split(spark, sf_dir)
+    folds = repeated_folds(tr, k=5, reps=1, label=LABEL)
+    cv = MD.cross_validate(folds, [{"kind": "lr", "encoding": "onehot"}, {"kind": "lr", "encoding": "ordinal"}],
+                           ZERO, NUMS, CATS, label=LABEL, parallelism=8)
+    s = cv.groupBy("config").agg(F.avg("score").alias("m"), F.stddev_pop("score").alias("s"))
+    w = s.groupBy().agg(F.max(F.when(F.col("config") == 0, F.col("m"))).alias("onehot"),
+                        F.max(F.when(F.col("config") == 1, F.col("m"))).alias("ordinal"),
+                        F.max(F.when(F.col("config") == 0, F.col("s"))).alias("s0"))
+    return w.select(r6("onehot").alias("onehot"), r6("ordinal").alias("ordinal"),
+                    r6(F.col("onehot") - F.col("ordinal")).alias("delta"),
+                    r6(F.try_divide(F.col("onehot") - F.col("ordinal"), F.col("s0"))).alias("delta_in_std"))

@@ -193,7 +193,7 @@ def q_scored_decisions(spark, sf_dir):
 _SEEDS = (0, 1, 2, 3, 4)
 
 
-@query("prediction_variance", ops=("M-N",), sql=SNAP + f"""
+@query("prediction_variance", ops=("M-N", "S7"), sql=SNAP + f"""
 , v AS (SELECT customer_id, s AS seed,
           CASE WHEN recency_days IS NULL THEN 1.0
                ELSE round(recency_days / (recency_days + 240.0 + 20.0 * s), 6) END AS p

@@ -101,3 +101,13 @@ def q_bootstrap_ap_ci(spark, sf_dir):
     """95 % percentile interval of AP from 2000 bootstrap replicates (Poisson resampling of the score
     histogram, replicates spread over tasks; single-class replicates skipped)."""
     return bootstrap_ap(snapshot(spark, sf_dir), label="y_signal", replicates=2000)
+
+
+@query("inner_holdout", ops=("S6",), sql=ctes("snapshot") + """
+, rk AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY ('0x' || substr(md5(CAST(customer_id AS VARCHAR) || '|42'), 1, 15))::UBIGINT, customer_id) AS rn,
+                count(*) OVER (PARTITION BY y) AS n FROM snapshot)
+SELECT CASE WHEN rn <= ceil(round(n * 0.15, 9)) THEN 'inner_holdout' ELSE 'fit' END AS part, y, count(*) AS n FROM rk GROUP BY ALL""")
+def q_inner_holdout(spark, sf_dir):
+    """Inner stratified 15 % holdout (used for early stopping / budget controls)."""
+    h = SP.holdout_split(snapshot(spark, sf_dir), 0.15)
+    return h.groupBy("part", "y").agg(F.count(F.lit(1)).alias("n"))
