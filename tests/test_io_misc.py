@@ -41,5 +41,5 @@ def test_random_search_log_uniform(spark):
 def test_holdout_share(spark):
     from retention_engine.operators.split import holdout_split
     d = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "customer_id long, y int")
-    h = {(r["part"], r["y"]): r["n"] for r in holdout_split(d, 0.15).groupBy("part", "y").count().collect()}
+    h = {(r["part"], r["y"]): r["count"] for r in holdout_split(d, 0.15).groupBy("part", "y").count().collect()}
     assert h[("inner_holdout", 1)] == 15 and h[("inner_holdout", 0)] == 45
