@@ -96,5 +96,5 @@ def cardinality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows, exact distinct levels and mean rows per level per column."""
     n = df.count()                      # one number
     d = degenerate_columns(df, cols)
-    return d.select("column", "n_distinct", F.lit(n).alias("rows"),
+    return d.select("column", "n_distinct", F.lit(n).cast("long").alias("rows"),
                     F.round(F.lit(n) / F.col("n_distinct"), 1).alias("rows_per_level"))

@@ -27,7 +27,7 @@ def top_k_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k
         w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
         d = d.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_salt")
     w2 = Window.partitionBy(*by).orderBy(*order)
-    return d.withColumn("queue_rank", F.row_number().over(w2)).where(F.col("queue_rank") <= k)
+    return d.withColumn("queue_rank", F.row_number().over(w2).cast("long")).where(F.col("queue_rank") <= k)
 
 
 def expected_loss_queue(df: DataFrame, k: int, score: str = "score", value: str = "value",

@@ -30,7 +30,7 @@ def compare_to_base(summary: DataFrame, base: str | int, key: str = "candidate")
     w = Window.orderBy(F.col("mean").desc(), F.col(key))          # one row per candidate (tiny)
     return j.select(key, "mean", "std", r6(F.col("mean") - F.col("_bm")).alias("delta"),
                     r6((F.col("mean") - F.col("_bm")) / F.col("_bs")).alias("delta_in_base_std"),
-                    F.row_number().over(w).alias("rank"))
+                    F.row_number().over(w).cast("long").alias("rank"))
 
 
 def one_se(summary: DataFrame, complexity: Sequence, key: str = "candidate", k_col: str = "k") -> DataFrame:

@@ -43,3 +43,11 @@ def test_holdout_share(spark):
     d = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "customer_id long, y int")
     h = {(r["part"], r["y"]): r["count"] for r in holdout_split(d, 0.15).groupBy("part", "y").count().collect()}
     assert h[("inner_holdout", 1)] == 15 and h[("inner_holdout", 0)] == 45
+
+
+def test_poisson_bootstrap_weights_mean_one(spark):
+    from retention_engine.operators.split import poisson_bootstrap_weights
+    d = spark.createDataFrame([(i,) for i in range(2000)], "customer_id long")
+    w = poisson_bootstrap_weights(d, 5)
+    tot = w.groupBy("replicate").agg(F.sum("weight").alias("s")).collect()
+    assert len(tot) == 5 and all(1800 < r["s"] < 2200 for r in tot)
