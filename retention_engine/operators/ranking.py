@@ -35,6 +35,20 @@ def score_id_key(score, id_col) -> Column:
     return (F.lit(SCORE_SCALE) - q) * F.lit(1 << ID_BITS) + i.cast("long")
 
 
+MAX_INLINE_GROUPS = 32
+
+
+def _count_below(bounds: list[float], x) -> Column:
+    """Number of ``bounds`` (sorted) strictly below ``x`` as a balanced tree of comparisons
+    (binary search compiled into the generated code; no per-row array)."""
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.lit(float(bounds[mid])) < x, build(mid + 1, hi)).otherwise(build(lo, mid))
+    return build(0, len(bounds))
+
+
 def default_chunks(df: DataFrame) -> int:
     return max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
@@ -52,9 +66,24 @@ def running_totals(df: DataFrame, key: str, cols: Sequence[str] = (), by: Sequen
     d = d.withColumn("_kd", kexpr)
     probs = [i / chunks for i in range(1, chunks)]
     bounds = d.groupBy(*gk).agg(F.percentile_approx("_kd", probs, 10000).alias("_bounds"))
-    d = (d.join(bounds, gk)
-          .withColumn("_chunk", F.size(F.filter("_bounds", lambda b: b < F.col("_kd"))))
-          .drop("_bounds"))
+    # Chunk boundaries are a bounded sketch (groups × chunks numbers). With few groups they are
+    # inlined as a compiled binary search; otherwise joined back and searched per row.
+    small = bounds.limit(MAX_INLINE_GROUPS + 1).collect()
+    if len(small) <= MAX_INLINE_GROUPS:
+        kd = F.col("_kd")
+        expr = F.lit(0)
+        for r in small:
+            b = sorted(float(v) for v in (r["_bounds"] or []))
+            cond = None
+            for g in gk:
+                c = F.col(g).eqNullSafe(F.lit(r[g]))
+                cond = c if cond is None else cond & c
+            expr = F.when(cond, _count_below(b, kd)).otherwise(expr)
+        d = d.withColumn("_chunk", expr)
+    else:
+        d = (d.join(bounds, gk)
+              .withColumn("_chunk", F.size(F.filter("_bounds", lambda b: b < F.col("_kd"))))
+              .drop("_bounds"))
     tot = d.groupBy(*gk, "_chunk").agg(F.count(F.lit(1)).alias("_cn"),
                                        *[F.sum(c).alias(f"_cs_{c}") for c in cols])
     w_before = Window.partitionBy(*gk).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
