@@ -83,9 +83,11 @@ def compare_numeric(baseline: DataFrame, window: DataFrame, features: Sequence[s
     Baseline features missing from the window are omitted (not measured ≠ stable); a present but
     empty feature gives psi null / 'no-data'.
     """
-    feats = [f for f in (features or window.columns)]
-    base_feats = [r["feature"] for r in baseline.select("feature").distinct().collect()]   # ≤ #features
-    feats = [f for f in feats if f in base_feats and f in window.columns]
+    # features absent from the window are omitted (schema check); features absent from the baseline
+    # drop out in the key join with the baseline — no extra job
+    num_types = ("double", "float", "int", "bigint", "smallint", "tinyint", "string")
+    feats = [f for f in (features or window.columns) if f in window.columns
+             and (features is not None or dict(window.dtypes)[f].startswith(num_types))]
     if not feats:          # nothing measured: an empty report, not a report of zeros
         return window.sparkSession.createDataFrame(
             [], "feature string, kind string, psi double, class string, n long, mean_ref double, mean_window double")
@@ -104,13 +106,12 @@ def compare_numeric(baseline: DataFrame, window: DataFrame, features: Sequence[s
 
 def compare_categorical(baseline: DataFrame, window: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """PSI over the union of baseline and window levels (full outer join); unseen levels listed."""
-    feats = [f for f in (features or window.columns)]
-    base_feats = [r["feature"] for r in baseline.select("feature").distinct().collect()]
-    feats = [f for f in feats if f in base_feats and f in window.columns]
+    feats = [f for f in (features or window.columns) if f in window.columns]
     if not feats:
         return window.sparkSession.createDataFrame(
             [], "feature string, kind string, psi double, class string, n long, unseen string")
-    long = long_categorical(window, feats).where(F.col("level").isNotNull())
+    long = long_categorical(window, feats).where(F.col("level").isNotNull()) \
+        .join(baseline.select("feature").distinct(), "feature", "left_semi")     # baseline features only
     wc = long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("c"))
     wn = wc.groupBy("feature").agg(F.sum("c").alias("n"))
     a = wc.join(wn, "feature").select("feature", "level", (F.col("c") / F.col("n")).alias("a"))

@@ -172,3 +172,30 @@ def q_encoding_effect(spark, sf_dir):
     return w.select(r6("onehot").alias("onehot"), r6("ordinal").alias("ordinal"),
                     r6(F.col("onehot") - F.col("ordinal")).alias("delta"),
                     r6(F.try_divide(F.col("onehot") - F.col("ordinal"), F.col("s0"))).alias("delta_in_std"))
+
+
+@query("selector_leakage_audit", ops=("V13", "F13"))
+def q_selector_leakage_audit(spark, sf_dir):
+    """Univariate (ANOVA F) selection of the 2 best numeric features done outside the folds (on all of
+    train) vs inside each fold: the outside variant's CV AP is optimistic when selection leaks."""
+    from ..operators.metrics import average_precision
+    from ..operators.prep import anova_f
+    tr, _ = _split(spark, sf_dir)
+    folds = repeated_folds(tr, k=5, reps=1, label=LABEL)
+    cand = ZERO + NUMS
+
+    def top2(df):
+        rows = anova_f(df, cand, LABEL).collect()                      # one row per feature
+        return [r["feature"] for r in sorted(rows, key=lambda r: (-(r["f_stat"] or 0.0), r["feature"]))[:2]]
+    outside = top2(tr)
+    out = []
+    for fold in range(5):
+        fit, held = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)
+        for variant, keep in (("outside", outside), ("inside", top2(fit))):
+            ex = [c for c in cand if c not in keep]
+            m = MD.fit_pipeline(fit, "lr", ZERO, NUMS, CATS, label=LABEL, exclude=ex)
+            ap = average_precision(MD.score(m, held).withColumn("_y", F.col(LABEL)), "probability", "_y").first()["ap"]
+            out.append((variant, fold, ",".join(sorted(keep)), ap))
+    d = spark.createDataFrame(out, "variant string, fold int, selected string, ap double")
+    return d.groupBy("variant").agg(r6(F.avg("ap")).alias("cv_ap"), F.count(F.lit(1)).alias("folds"),
+                                    F.array_join(F.array_sort(F.collect_set("selected")), ";").alias("selections"))
