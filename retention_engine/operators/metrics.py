@@ -113,9 +113,11 @@ def top_n_hits(df: DataFrame, grid: DataFrame, gk: list[str], score: str = "scor
     part = b.where(F.col("m") < F.col("n_b")).select(*gk, "point", "score", "m", "before")
     rows = df.select(*gk, id_col, F.round(F.col(score).cast("double"), 6).alias("score"),
                      F.col(label).cast("long").alias("_y"))
-    tied = rows.join(part, gk + ["score"])
-    r = running_totals(tied, id_col, ["_y"], gk + ["point"])
-    cut_hits = r.where(F.col("_rn") == F.col("m")).select(*gk, "point", (F.col("before") + F.col("cum__y")).alias("hits"))
+    # each tied block is ranked once, however many cut points fall inside it
+    tied = rows.join(part.select(*gk, "score").distinct(), gk + ["score"])
+    r = running_totals(tied, id_col, ["_y"], gk + ["score"])
+    cut_hits = (r.join(part, gk + ["score"]).where(F.col("_rn") == F.col("m"))
+                 .select(*gk, "point", (F.col("before") + F.col("cum__y")).alias("hits")))
     return whole.unionByName(cut_hits)
 
 
