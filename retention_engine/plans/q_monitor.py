@@ -241,3 +241,16 @@ def q_log_json_read(spark, sf_dir):
 def q_log_json_records(spark, sf_dir):
     """JSON line per record: optional fields absent (not zero) when a request was rejected; no features."""
     return MO.to_json_records(log(spark, sf_dir))
+
+
+@query("log_features_flatten", ops=("L7", "IO5"), sql=ctes("snapshot") + """
+SELECT segment, count(*) AS n, round(avg(tenure_days), 6) AS mean_tenure FROM snapshot GROUP BY segment""")
+def q_log_features_flatten(spark, sf_dir):
+    """Requests of 25 customers carrying their feature records (logged only when feature logging is
+    on); flattening them back gives one row per scored customer for data-drift measurement."""
+    from .common import snapshot
+    s = snapshot(spark, sf_dir)
+    req = s.groupBy(F.floor(F.col("customer_id") / 25).alias("request_id")).agg(
+        F.collect_list(F.struct("customer_id", "segment", "tenure_days")).alias("features"))   # ≤ 25 per request
+    flat = MO.flatten_features(req)
+    return flat.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("tenure_days")).alias("mean_tenure"))
