@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import QUANTILE_LEVELS, digitize, psi_class, psi_term, r6
 from ..session import materialize
 from .quantiles import exact_quantiles
+from .ranking import with_row
 
 N_BINS = 10
 Q_NAMES = tuple(f"p{int(round(q * 100)):02d}" for q in QUANTILE_LEVELS)
@@ -166,20 +167,18 @@ def compare_scores(baseline: DataFrame, window: DataFrame, score: str = "score",
     w = window.select(*keys, F.col(score).alias("value")).where(F.col("value").isNotNull())
     b = baseline.drop("feature")
     d = w.join(b.select(*keys, "edges", "threshold") if keys else b.select("edges", "threshold"), keys) if keys \
-        else w.join(F.broadcast(b.select("edges", "threshold", F.lit(0).alias("_g"))), F.lit(0) == F.col("_g"))
+        else with_row(w, b.select("edges", "threshold"))
     cnt = d.groupBy(*keys, digitize("value", F.col("edges")).alias("bin")).agg(F.count(F.lit(1)).alias("c"))
     st = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("_mean"),
                               F.avg((F.col("value") >= F.col("threshold")).cast("double")).alias("_rate"))
     ep = b.select(*keys, F.posexplode("props").alias("bin", "e"))
     j = ep.join(cnt, keys + ["bin"], "left")
-    jn = j.join(st, keys, "left") if keys else j.withColumn("_g", F.lit(0)).join(
-        st.withColumn("_g", F.lit(0)), "_g", "left").drop("_g")
+    jn = j.join(st, keys, "left") if keys else with_row(j, st)
     agg = jn.groupBy(*keys).agg(
         F.sum(psi_term("e", F.coalesce(F.col("c") / F.col("n"), F.lit(0.0)))).alias("_psi"),
         F.max("n").alias("n"), F.max("_mean").alias("_mean"), F.max("_rate").alias("_rate"))
     ref = b.select(*keys, F.col("mean").alias("mean_ref"), F.col("rate_above").alias("rate_above_ref"))
-    out = agg.join(ref, keys) if keys else agg.withColumn("_g", F.lit(0)).join(
-        ref.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    out = agg.join(ref, keys) if keys else with_row(agg, ref)
     has = F.coalesce(F.col("n"), F.lit(0)) > 0
     p = F.when(has, r6("_psi"))
     return out.select(

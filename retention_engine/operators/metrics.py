@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import COST_FN, COST_FP, OPERATIONAL_KS, r6, safe_div
-from .ranking import _drop_g, _group_keys, running_totals, score_id_key
+from .ranking import _drop_g, _group_keys, running_totals, score_id_key, with_row
 
 THRESHOLDS = [round(i / 100, 2) for i in range(1, 100)]   # 0.01 .. 0.99
 
@@ -238,7 +238,10 @@ def evaluate(df: DataFrame, score: str = "score", label: str = "y", id_col: str
     wide = rk.groupBy(*gk).agg(*[
         F.max(F.when(F.col("k") == float(k), F.col(c))).alias(f"{c.replace('_k', '')}_{int(round(k * 100))}")
         for k in ks for c in ("recall_at_k", "lift_at_k", "pct_ceiling")])
-    out = pm.join(ap, gk, "left").join(auc, gk, "left").join(wide, gk, "left")
+    if by:
+        out = pm.join(ap, gk, "left").join(auc, gk, "left").join(wide, gk, "left")
+    else:      # one row each: attach as literals (no join of constant keys)
+        out = with_row(with_row(with_row(pm, ap.drop("_g")), auc.drop("_g")), wide.drop("_g"))
     return _drop_g(out, by)
 
 

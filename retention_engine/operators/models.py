@@ -28,7 +28,7 @@ from ..session import scratch_path
 from .drift import category_baseline, numeric_baseline, score_baseline
 from .metrics import average_precision, point_metrics
 from .prep import build_pipeline
-from .ranking import running_totals
+from .ranking import running_totals, with_row
 
 
 class PriorClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -112,7 +112,7 @@ def validation_metrics(model: PipelineModel, val: DataFrame, label: str = "y", t
     s = score(model, val).withColumn("_y", F.col(label))
     ap = average_precision(s, "probability", "_y")
     pm = point_metrics(s, "probability", "_y", threshold).select("n", "brier")
-    return ap.withColumn("_g", F.lit(0)).join(pm.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    return with_row(ap, pm)
 
 
 def odds_ratios(model: PipelineModel) -> list[tuple[str, float, float]]:
@@ -155,7 +155,7 @@ def permutation_importance(model: PipelineModel, val: DataFrame, features: Seque
         variants = v if variants is None else variants.unionByName(v)
     s = score(model, variants)
     ap = average_precision(s.withColumn("_y", F.col(label)), "probability", "_y", by=["feature", "rep"])
-    j = ap.withColumn("_g", F.lit(0)).join(base_ap.withColumn("_g", F.lit(0)), "_g")
+    j = with_row(ap, base_ap)
     return j.groupBy("feature").agg(r6(F.avg(F.col("base_ap") - F.col("ap"))).alias("ap_drop_mean"),
                                     r6(F.stddev_pop(F.col("base_ap") - F.col("ap"))).alias("ap_drop_std"))
 

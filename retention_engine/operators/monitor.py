@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import r6
 from .quantiles import exact_quantiles
-from .ranking import running_totals
+from .ranking import running_totals, with_row
 
 LOG_SCHEMA = T.StructType([
     T.StructField("timestamp", T.StringType()),
@@ -56,8 +56,7 @@ def latency_percentiles(log: DataFrame, by: Sequence[str] = (), value: str = "la
                                 .cast("double").alias(n)
                                 for p, n in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))])
     mx = log.groupBy(*by).agg(F.round(F.max(value), 3).alias("max"))
-    return wide.join(mx, list(by)) if by else wide.withColumn("_g", F.lit(0)).join(
-        mx.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    return wide.join(mx, list(by)) if by else with_row(wide, mx)
 
 
 def flatten_scores(log: DataFrame, scores: str = "scores") -> DataFrame:

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import r6
 from .drift import long_categorical, long_numeric
 from .quantiles import exact_quantiles
+from .ranking import with_row
 
 
 def target_distribution(df: DataFrame, label: str = "y") -> DataFrame:
     """Class counts, shares and the accuracy floor of always predicting the majority."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     tot = df.agg(F.count(F.lit(1)).alias("_t"))
-    return c.join(tot.withColumn("_g", F.lit(0)), F.lit(0) == F.col("_g")).select(
+    return with_row(c, tot).select(
         label, "n", r6(F.col("n") / F.col("_t")).alias("share"))
 
 
@@ -72,14 +73,14 @@ def redundancy(df: DataFrame, target: str, a: str, b: str, where=None) -> DataFr
     c = d.agg(r6(F.corr("t", "ab")).alias("corr"), F.count(F.lit(1)).alias("n"))
     rel = d.select(F.abs((F.col("t") - F.col("ab")) / F.col("t")).alias("rel"))
     med = exact_quantiles(rel, "rel", [0.5]).select(r6("quantile").alias("median_rel_error"))
-    return c.withColumn("_g", F.lit(0)).join(med.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    return with_row(c, med)
 
 
 def quartile_rates(df: DataFrame, value: str, label: str = "y") -> DataFrame:
     """Target rate by quartile bin of ``value`` (edges = exact quartiles, right-closed like qcut)."""
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75])
     edges = q.agg(F.array_sort(F.collect_list("quantile")).alias("_e"))       # 3 numbers
-    d = df.where(F.col(value).isNotNull()).join(edges.withColumn("_g", F.lit(0)), F.lit(0) == F.col("_g"))
+    d = with_row(df.where(F.col(value).isNotNull()), edges)
     b = F.size(F.filter("_e", lambda e: e < F.col(value)))                       # right-closed
     return d.groupBy(b.alias("quartile")).agg(F.count(F.lit(1)).alias("n"),
                                               r6(F.avg(F.col(label).cast("double"))).alias("rate"))

@@ -13,7 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import _drop_g, _group_keys, running_totals
+from .ranking import _drop_g, _group_keys, running_totals, with_row
+
+
+def _join_groups(a: DataFrame, b: DataFrame, gk, by) -> DataFrame:
+    """Equi-join on the group keys; without groups ``b`` is one summary row attached as literals."""
+    return a.join(b, gk) if by else with_row(a, b.drop("_g"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -32,14 +37,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     targets = targets.withColumn("_lo", F.floor("_h").cast("long")) \
                      .withColumn("_frac", F.col("_h") - F.col("_lo"))
     # the two ranks needed per target (1-based), capped at n
-    pts = targets.join(tot, gk).select(
+    pts = _join_groups(targets, tot.drop("_g") if not by else tot, gk, by).select(
         *gk, "prob", "_frac",
         F.explode(F.array(F.struct(F.lit(0).alias("side"), (F.col("_lo") + 1).alias("rank")),
                           F.struct(F.lit(1).alias("side"),
                                    F.least(F.col("_lo") + 2, F.col("_n")).alias("rank")))).alias("p"))
     want = pts.groupBy(*gk).agg(F.collect_list(F.struct("prob", "_frac", "p.side", "p.rank")).alias("_want"))
     hit = (ranked.withColumn("_start", F.col("cum__c") - F.col("_c") + 1)
-                 .join(want, gk)
+                 .transform(lambda x: _join_groups(x, want, gk, by))
                  .select(*gk, "_v", F.explode(F.filter(
                      "_want", lambda w: (w["rank"] >= F.col("_start")) & (w["rank"] <= F.col("cum__c")))).alias("w")))
     out = hit.groupBy(*gk, F.col("w.prob").alias("prob")).agg(

@@ -8,10 +8,12 @@ one hot group is split over many chunks instead of landing in one task.
 """
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ID_BITS = 41          # ids must be in [0, 2^41) to build the composite (score desc, id asc) key
 SCORE_SCALE = 1_000_000
@@ -99,3 +101,29 @@ def running_totals(df: DataFrame, key: str, cols: Sequence[str] = (), by: Sequen
         d = d.withColumn(f"cum_{c}", F.col(f"_os_{c}") + F.sum(c).over(w_loc))
     d = d.drop("_kd", "_chunk", "_on", *[f"_os_{c}" for c in cols])
     return _drop_g(d, by)
+
+
+def with_row(df: DataFrame, row_df: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (a scalar summary) to every row of ``df`` as literals.
+
+    The summary is collected (exactly one row — a bounded size), so no join, and in particular no
+    nested-loop / cartesian join, is planned for it.
+    """
+    rows = row_df.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"expected one summary row, got {len(rows)}")
+    r = rows[0]
+
+    def plain(v):
+        if hasattr(v, "asDict"):
+            return {k: plain(x) for k, x in v.asDict().items()}
+        if isinstance(v, (list, tuple)):
+            return [plain(x) for x in v]
+        return v
+
+    def lit(f):
+        v = r[f.name]
+        if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) and v is not None:
+            return F.from_json(F.lit(json.dumps(plain(v))), f.dataType).alias(f.name)
+        return F.lit(v).cast(f.dataType).alias(f.name)
+    return df.select("*", *[lit(f) for f in row_df.schema.fields if f.name != "_g"])

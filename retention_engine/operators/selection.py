@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import GATE_MAX_BRIER, GATE_MIN_AP, r6
 from ..functions.stats import t_sf_two_sided, wilcoxon_zsplit
+from .ranking import with_row
 
 
 def cv_summary(cv: DataFrame, keys: Sequence[str] = ("candidate",)) -> DataFrame:
@@ -26,7 +27,7 @@ def cv_summary(cv: DataFrame, keys: Sequence[str] = ("candidate",)) -> DataFrame
 def compare_to_base(summary: DataFrame, base: str | int, key: str = "candidate") -> DataFrame:
     """Δ vs the base candidate, Δ in units of the base's std, and rank by mean (1 = best)."""
     b = summary.where(F.col(key) == F.lit(base)).select(F.col("mean").alias("_bm"), F.col("std").alias("_bs"))
-    j = summary.join(F.broadcast(b.withColumn("_g", F.lit(0))), F.lit(0) == F.col("_g"))
+    j = with_row(summary, b)
     w = Window.orderBy(F.col("mean").desc(), F.col(key))          # one row per candidate (tiny)
     return j.select(key, "mean", "std", r6(F.col("mean") - F.col("_bm")).alias("delta"),
                     r6((F.col("mean") - F.col("_bm")) / F.col("_bs")).alias("delta_in_base_std"),
@@ -39,7 +40,7 @@ def one_se(summary: DataFrame, complexity: Sequence, key: str = "candidate", k_c
     best = summary.orderBy(F.col("mean").desc(), F.col(key)).limit(1).select(
         F.col("mean").alias("best_mean"), F.col(key).alias("best_candidate"),
         r6(F.col("mean") - F.col("std") / F.sqrt(F.col(k_col))).alias("cut"))
-    j = summary.join(F.broadcast(best.withColumn("_g", F.lit(0))), F.lit(0) == F.col("_g")).drop("_g")
+    j = with_row(summary, best).drop("_g")
     return j.where(F.col("mean") >= F.col("cut")).orderBy(*complexity).limit(1)
 
 
@@ -47,7 +48,7 @@ def envelopes(summary: DataFrame, k_folds: int = 15, n_splits: int = 5, key: str
     """How many candidates sit within best − std/√K, best − std/√5 and best − std (std of the best)."""
     best = summary.orderBy(F.col("mean").desc(), F.col(key)).limit(1).select(
         F.col("mean").alias("_m"), F.col("std").alias("_s"))
-    j = summary.join(F.broadcast(best.withColumn("_g", F.lit(0))), F.lit(0) == F.col("_g"))
+    j = with_row(summary, best)
     cuts = {"se": F.col("_m") - F.col("_s") / math.sqrt(k_folds),
             "conservative": F.col("_m") - F.col("_s") / math.sqrt(n_splits),
             "full_std": F.col("_m") - F.col("_s")}

@@ -102,7 +102,8 @@ def q_ablation(spark, sf_dir):
     s = cv.groupBy("config").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
     names = spark.createDataFrame([(0, "(none)")] + [(i + 1, f) for i, f in enumerate(feats)], "config long, dropped string")
     b = s.where(F.col("config") == 0).select(F.col("mean").alias("bm"), F.col("std").alias("bs"))
-    j = s.join(names, "config").withColumn("_g", F.lit(0)).join(b.withColumn("_g", F.lit(0)), "_g")
+    from ..operators.ranking import with_row
+    j = with_row(s.join(names, "config"), b)
     return j.select("dropped", r6("mean").alias("mean"), r6(F.col("bm") - F.col("mean")).alias("loss"),
                     ((F.col("bm") - F.col("mean")) > F.col("bs") / 2).alias("useful"))
 

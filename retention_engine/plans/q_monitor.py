@@ -84,7 +84,8 @@ def q_log_score_drift(spark, sf_dir):
     win = lg.where(F.col("ts") >= F.lit(BASE_END).cast("timestamp_ntz")).withColumn("day", F.date_trunc("day", "ts"))
     b = D.score_baseline(ref, threshold=0.5)
     days = win.select("day").distinct()
-    b_per_day = days.withColumn("_g", F.lit(0)).join(F.broadcast(b.withColumn("_g", F.lit(0))), "_g").drop("_g")
+    from ..operators.ranking import with_row
+    b_per_day = with_row(days, b)
     return D.compare_scores(b_per_day, win, by=["day"])
 
 
@@ -234,7 +235,8 @@ def q_log_json_read(spark, sf_dir):
     parsed = MO.read_json_log(lines)
     blank = lines.where(F.trim("value") == "").agg(F.count(F.lit(1)).alias("blank"))
     counts = parsed.agg(F.count_if(~F.col("corrupt")).alias("read_ok"), F.count_if(F.col("corrupt")).alias("invalid"))
-    return counts.withColumn("_g", F.lit(0)).join(blank.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    from ..operators.ranking import with_row
+    return with_row(counts, blank)
 
 
 @query("log_json_records", ops=("IO4", "IO5"))

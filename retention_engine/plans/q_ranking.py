@@ -174,7 +174,8 @@ def q_prior_baseline(spark, sf_dir):
     """Constant-prevalence scorer: AP equals the group prevalence (the floor any model must beat)."""
     s = snapshot(spark, sf_dir)
     prev = s.agg(F.avg(F.col("y").cast("double")).alias("prior_score"))      # one row
-    d = s.join(F.broadcast(prev.withColumn("_g", F.lit(0))), F.lit(0) == F.col("_g")).drop("_g")
+    from ..operators.ranking import with_row
+    d = with_row(s, prev)
     ap = M.average_precision(d, score="prior_score", by=["segment"])
     brier = d.groupBy("segment").agg(r6(F.avg(F.pow(F.col("prior_score") - F.col("y"), 2))).alias("brier"))
     return ap.join(brier, "segment")

@@ -203,7 +203,8 @@ def q_selection_bias(spark, sf_dir):
     t = s.join(fin, "candidate").select("candidate", r6(F.col("ap") - F.col("mean")).alias("drop"))
     c1 = ch.join(t, "candidate").select(F.col("candidate").alias("chosen"), F.col("drop").alias("chosen_drop"))
     c0 = t.where(F.col("candidate") == BASE).select(F.col("drop").alias("control_drop"))
-    return c1.withColumn("_g", F.lit(0)).join(c0.withColumn("_g", F.lit(0)), "_g").drop("_g") \
+    from ..operators.ranking import with_row
+    return with_row(c1, c0) \
              .withColumn("excess", r6(F.col("chosen_drop") - F.col("control_drop")))
 
 
