@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,10 +49,14 @@ def get_session(master: str | None = None, app: str = "retention_engine",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) do we create one under the system temp folder.
+    Without that setting a temporary folder is made only for a ``local`` master, where driver and
+    executors are one process; any other master must name a folder that all machines share.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
         d = tempfile.mkdtemp(prefix="re-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
