@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import archives, packing, sharding
+from . import archives, grammar, packing, sharding, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,12 @@ def op2_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids written to grammar-compressed files and read back."""
+    return grammar.write_and_read(load(spark, sf_dir, "documents"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens in sequences of at most 1024."""
@@ -48,3 +54,9 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
        CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
 FROM d LEFT JOIN f ON f.payload_digest = d.payload_digest AND d.payload_bytes >= 100
 """
+
+
+@query
+def op8_pca_tiled_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links of cosine 0.95 or more and its component."""
+    return vectors.near_duplicates(load(spark, sf_dir, "embeddings"))
