@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import archives, grammar, packing, sharding, vectors
+from . import archives, grammar, licenses, packing, sharding, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +18,15 @@ def query(fn):
     return fn
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License detections of every document."""
+    return licenses.scan(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_license_scan"] = licenses.oracle()
+
+
 @query
 def op2_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes; equal texts stay together."""
