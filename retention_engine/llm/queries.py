@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import archives, grammar, licenses, packing, sharding, vectors
+from . import archives, grammar, language, licenses, packing, sharding, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,29 @@ def op2_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from its text, its declared language and its source's prior."""
+    docs = load(spark, sf_dir, "documents")
+    out = language.judge(docs, "text", F.col("lang"), None, F.col("source"), F.col("doc_id"), keep=["doc_id"])
+    return out.select("doc_id", F.col("li_lang").alias("language"), F.col("li_posterior").alias("posterior"),
+                      F.col("li_text_posterior").alias("text_posterior"), F.col("li_kept").alias("kept"))
+
+
+@query
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its text, its markup language, its address suffix and its host's prior."""
+    pages = load(spark, sf_dir, "pages")
+    host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
+    text = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>", " ")
+    pages = pages.select("page_id", text.alias("text"), F.when(host != "", host).alias("host"),
+                         F.regexp_extract("html", r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)", 1).alias("markup"))
+    suffix = F.nullif(F.regexp_extract("host", r"\.([a-z]+)$", 1), F.lit(""))
+    out = language.judge(pages, "text", F.col("markup"), suffix, F.col("host"), F.col("page_id"), keep=["page_id"])
+    return out.select("page_id", F.col("li_lang").alias("language"), F.col("li_posterior").alias("posterior"),
+                      F.col("li_text_posterior").alias("text_posterior"), F.col("li_kept").alias("kept"))
+
+
 @query
 def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids written to grammar-compressed files and read back."""
