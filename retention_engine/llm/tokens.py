@@ -2,8 +2,8 @@
 
 The vocabulary's pre-tokenizer begins a new unit at a single space or line feed that has other characters on both
 sides, so the ids of a text are the ids of its pieces between them, one after another (a piece keeps the space or
-line feed before it). Pieces repeat, whole texts rarely do: each worker keeps the ids of the pieces it has met (a
-bounded memo, emptied when full) and hands only new ones to the tokenizers library. Texts where that law need not
+line feed before it). Short pieces repeat, whole texts rarely do: each worker keeps the ids of the short pieces it
+has met (a bounded memo, cut back to the shortest when full) and hands only new ones to the tokenizers library. Texts where that law need not
 hold (runs of white space, white space at an end, any other white space) are encoded whole.
 """
 from __future__ import annotations
@@ -15,7 +15,10 @@ import numpy as np
 
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 _OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
-MEMO_PIECES = 600_000
+MEMO_PIECES = 400_000
+#: Longest piece kept after its batch, and kept when the memo is full. Longer ones rarely come again.
+KEEP_CHARS, KEEP_CHARS_FULL = 9, 7
+ROWS = 128
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
@@ -48,9 +51,15 @@ class Encoder:
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; a null text is empty."""
+        return [x for a in range(0, len(texts), ROWS) for x in self._encode(texts[a:a + ROWS])]
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
         memo = self.memo
         if len(memo) > self.size:
+            kept = {x: ids for x, ids in memo.items() if len(x) <= KEEP_CHARS_FULL}
             memo.clear()
+            if len(kept) <= self.size // 2:
+                memo.update(kept)
         parts: list[list[str] | None] = []
         for t in texts:
             if not t:
@@ -64,12 +73,15 @@ class Encoder:
             if p:
                 new.update(p)
         fresh = [x for x in new if x not in memo]
-        for x, ids in zip(fresh, self._ids([x if x[0] == "\n" else " " + x for x in fresh]), strict=True):
-            memo[x] = ids
+        memo.update(zip(fresh, self._ids([x if x[0] == "\n" else " " + x for x in fresh]), strict=True))
         whole = iter(self._ids([t for t, p in zip(texts, parts, strict=True) if p is None]))
         # The first piece of a text was given a line feed (one id) in front.
-        return [np.frombuffer(next(whole), np.uint32) if p is None
-                else np.frombuffer(b"".join(map(memo.__getitem__, p)), np.uint32)[1 if p else 0:] for p in parts]
+        out = [np.frombuffer(next(whole), np.uint32) if p is None
+               else np.frombuffer(b"".join(map(memo.__getitem__, p)), np.uint32)[1 if p else 0:] for p in parts]
+        for x in fresh:
+            if len(x) > KEEP_CHARS:
+                del memo[x]
+        return out
 
 
 def encoder(path: str, memo: int = MEMO_PIECES) -> Encoder:
