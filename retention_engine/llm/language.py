@@ -63,7 +63,7 @@ def fit(docs: DataFrame, text: Column, declared: Column, seed: Column, sample_ro
     The languages are the ``MOST_LANGUAGES`` most frequent declared ones; rows are drawn by a hash of ``seed``.
     """
     rows = docs.select(text.alias("t"), declared.alias("l"), F.pmod(F.xxhash64(seed), F.lit(SHARES)).alias("h")).where(
-        "l IS NOT NULL")
+        "l IS NOT NULL AND t IS NOT NULL")
     counts = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect()
     if not counts:
         return [], np.zeros((0, CELLS), np.float32)

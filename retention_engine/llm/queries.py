@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import archives, grammar, language, licenses, packing, sharding, vectors
+from . import archives, decontaminate, grammar, jaccard, language, licenses, packing, sharding, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,15 @@ FROM d LEFT JOIN f ON f.payload_digest = d.payload_digest AND d.payload_bytes >=
 def op8_pca_tiled_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its links of cosine 0.95 or more and its component."""
     return vectors.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's 4-word shingles and its component of similarity 0.85 or more."""
+    return jaccard.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+@query
+def op10_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a benchmark item in a document, within the item's edit budget."""
+    return decontaminate.matches(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from retention_engine.llm import language
 from retention_engine.sources.tables import load
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def test_held_out_accuracy_and_keeps(spark):
     docs = load(spark, SF, "documents")
-    wrong = F.when(F.col("doc_id") % 7 == 0, F.lit("de")).otherwise(F.when(F.col("doc_id") % 5 == 0, F.lit(None)).otherwise(F.col("lang")))
+    wrong = F.when(F.col("doc_id") % 13 == 0, F.lit("de")).otherwise(F.when(F.col("doc_id") % 5 == 0, F.lit(None)).otherwise(F.col("lang")))
     rows = docs.withColumn("li_lang_clash", F.lit(1)).withColumn("said", wrong)
     out = language.judge(rows, "text", F.col("said"), None, F.col("source"), F.col("doc_id")).toPandas()
     assert set(rows.columns) < set(out.columns) and len(out) == rows.count()
