@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import archives, decontaminate, grammar, jaccard, language, licenses, packing, sharding, vectors
+from . import archives, decontaminate, grammar, jaccard, language, licenses, packing, passages, sharding, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,12 @@ def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("li_text_posterior").alias("text_posterior"), F.col("li_kept").alias("kept"))
 
 
+@query
+def op4_passage_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of a document that an earlier document has, in places of words."""
+    return passages.repeats(load(spark, sf_dir, "documents"))
+
+
 @query
 def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids written to grammar-compressed files and read back."""
