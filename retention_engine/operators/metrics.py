@@ -1,63 +1,59 @@
 """Ranking, calibration and cost metrics (M1–M21), all as grouped aggregations.
 
 Every function takes ``by`` so one job measures many models × folds × segments. Ranking metrics run
-over a *score histogram* (one row per distinct 6-dp score per group, at most 1,000,001 rows per group)
-so ties are grouped exactly like the definitions require; row-level ranks (recall@k, gain) use
-:func:`ranking.running_totals`, which never pulls a group into one task.
+over a cumulative *score histogram* (one row per distinct raw score per group) so ties are grouped exactly like the
+definitions require. It may be as long as the data, so it is cumulated in chunks (:func:`ranking.running_totals`); one
+histogram, written once, feeds AP, ROC-AUC, recall@k and gain.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import COST_FN, COST_FP, OPERATIONAL_KS, r6, safe_div
-from .ranking import _drop_g, _group_keys, running_totals, score_id_key, with_row
+from ..session import materialize
+from .ranking import _drop_g, _group_keys, checked_broadcast, group_struct, running_totals, with_row
 
 THRESHOLDS = [round(i / 100, 2) for i in range(1, 100)]   # 0.01 .. 0.99
 
 
-def _join(a: DataFrame, b: DataFrame, gk: list[str]) -> DataFrame:
-    return a.join(b, gk, "left")
-
-
 def score_histogram(df: DataFrame, score: str = "score", label: str = "y",
                     by: Sequence[str] = ()) -> DataFrame:
-    """(by…, score, n, pos, neg): partial aggregation happens before the shuffle."""
-    return (df.groupBy(*by, F.round(F.col(score).cast("double"), 6).alias("score"))
+    """(by…, score, n, pos, neg) per distinct raw score: partial aggregation happens before the shuffle."""
+    return (df.groupBy(*by, F.col(score).cast("double").alias("score"))
               .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
               .withColumn("neg", F.col("n") - F.col("pos")))
 
 
-def _hist_cumulative(h: DataFrame, gk: list[str], cols: Sequence[str], descending: bool) -> DataFrame:
-    """Inclusive running sums over the score histogram of each group. The histogram has at most
-    1,000,001 rows per group (6-dp scores) whatever the input size, so one ordered window per group
-    is bounded work; no row-level data is ever ordered in one task."""
-    o = F.col("score").desc() if descending else F.col("score").asc()
-    w = Window.partitionBy(*gk).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-    return h.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in cols])
+def cumulative_histogram(df: DataFrame, score: str, label: str, gk: Sequence[str]) -> DataFrame:
+    """The histogram with ``cum_n`` and ``cum_pos`` by falling score, written once for all metrics that read it."""
+    h = running_totals(score_histogram(df, score, label, gk), "score", ["n", "pos"], gk, descending=True)
+    return materialize(h.drop("_rn"), "cumulative-histogram")
+
+
+def _ap_auc(h: DataFrame, gk: Sequence[str]) -> DataFrame:
+    """AP = Σ pos · precision / P. ROC-AUC from Σ pos · (negatives below + half of those tied): with all negatives N,
+    those below a score are N − cum_neg."""
+    cum_neg = F.col("cum_n") - F.col("cum_pos")
+    p, n = F.sum("pos"), F.sum("neg")
+    below = p * n - F.sum(F.col("pos") * cum_neg) + 0.5 * F.sum(F.col("pos") * F.col("neg"))
+    return h.groupBy(*gk).agg(r6(safe_div(F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n")), p)).alias("ap"),
+                              r6(safe_div(below, p * n)).alias("roc_auc"))
 
 
 def average_precision(df: DataFrame, score: str = "score", label: str = "y",
                       by: Sequence[str] = ()) -> DataFrame:
     """AP = Σ (R_n − R_{n−1}) P_n over distinct scores, descending (ties grouped). Null without positives."""
-    h, gk = _group_keys(score_histogram(df, score, label, by), by)
-    h = _hist_cumulative(h, gk, ["n", "pos"], descending=True)
-    out = h.groupBy(*gk).agg(
-        r6(safe_div(F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n")), F.sum("pos"))).alias("ap"))
-    return _drop_g(out, by)
+    d, gk = _group_keys(df, by)
+    return _drop_g(_ap_auc(cumulative_histogram(d, score, label, gk), gk).drop("roc_auc"), by)
 
 
 def roc_auc(df: DataFrame, score: str = "score", label: str = "y", by: Sequence[str] = ()) -> DataFrame:
     """Probability a positive outranks a negative, ties counted half. Null with one class."""
-    h, gk = _group_keys(score_histogram(df, score, label, by), by)
-    h = _hist_cumulative(h, gk, ["neg"], descending=False)
-    out = h.groupBy(*gk).agg(
-        r6(safe_div(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg"))),
-                    F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
-    return _drop_g(out, by)
+    d, gk = _group_keys(df, by)
+    return _drop_g(_ap_auc(cumulative_histogram(d, score, label, gk), gk).drop("ap"), by)
 
 
 def point_metrics(df: DataFrame, score: str = "score", label: str = "y", threshold: float = 0.5,
@@ -84,62 +80,56 @@ def point_metrics(df: DataFrame, score: str = "score", label: str = "y", thresho
                     r6("_prev").alias("prevalence"))
 
 
-def ranked(df: DataFrame, score: str = "score", label: str = "y", id_col: str = "customer_id",
-           by: Sequence[str] = ()) -> DataFrame:
-    """Rows with ``_rn`` = rank by (score desc, id asc) within ``by`` and ``cum__y`` (running positives)."""
-    d = df.select(*by, id_col, F.col(score).alias("_s"), F.col(label).cast("long").alias("_y"))
-    d = d.withColumn("_key", score_id_key("_s", id_col))
-    return running_totals(d, "_key", ["_y"], by)
-
-
-def top_n_hits(df: DataFrame, grid: DataFrame, gk: list[str], score: str = "score", label: str = "y",
+def top_n_hits(df: DataFrame, h: DataFrame, gk: list[str], cuts: Column, score: str = "score", label: str = "y",
                id_col: str = "customer_id") -> DataFrame:
-    """Positives among the first ``cut`` rows by (score desc, id asc), for every (group, point, cut) of
-    ``grid`` — without ranking every row.
+    """(group, _n, _p, point, cut, hits): positives among the first ``cut`` rows by (score desc, id asc).
 
-    The cumulative score histogram locates, per cut, the boundary score and how many of its rows are
-    inside (m). Rows strictly above the boundary are counted from the histogram; only the rows sharing
-    the boundary score are ranked (by id, chunked — a tied block holding a third of the table is still
-    ranked by many tasks).
+    ``cuts`` gives an array of (point, cut) from the group's ``_n`` rows. The cumulative histogram ``h`` tells for each
+    of its rows which cuts fall inside; rows strictly above are counted from it, and only the rows tied at the score
+    where a cut falls are ranked (by id, in chunks). The groups' totals and the tied scores are broadcast after their
+    rows were counted: a tied score that holds a third of the table does not meet in one task.
     """
-    h = score_histogram(df, score, label, gk)
-    h = _hist_cumulative(h, gk, ["n", "pos"], descending=True)
-    b = (h.join(grid, gk)
-          .where((F.col("cum_n") - F.col("n") < F.col("cut")) & (F.col("cut") <= F.col("cum_n")))
-          .select(*gk, "point", "cut", "score", (F.col("cut") - (F.col("cum_n") - F.col("n"))).alias("m"),
-                  (F.col("cum_pos") - F.col("pos")).alias("before"), F.col("n").alias("n_b"),
-                  F.col("pos").alias("pos_b")))
-    whole = b.where(F.col("m") == F.col("n_b")).select(*gk, "point", (F.col("before") + F.col("pos_b")).alias("hits"))
-    part = b.where(F.col("m") < F.col("n_b")).select(*gk, "point", "score", "m", "before")
-    rows = df.select(*gk, id_col, F.round(F.col(score).cast("double"), 6).alias("score"),
-                     F.col(label).cast("long").alias("_y"))
+    tot = h.groupBy(*gk).agg(F.sum("n").alias("_n"), F.sum("pos").alias("_p")).withColumn("_cuts", cuts)
+    tot = checked_broadcast(tot.withColumn("_gs", group_struct(gk)).drop(*gk), "group-totals")
+    first = F.col("cum_n") - F.col("n")
+    b = (h.withColumn("_gs", group_struct(gk)).join(tot, "_gs")
+          .withColumn("_c", F.explode(F.filter("_cuts", lambda c: (c["cut"] > first) & (c["cut"] <= F.col("cum_n")))))
+          .select(*gk, "_gs", "_n", "_p", "_c.point", "_c.cut", "score", "n", "pos", (F.col("_c.cut") - first).alias("m"),
+                  (F.col("cum_pos") - F.col("pos")).alias("before")))
+    b = materialize(b, "cut-scores")
+    whole = b.where(F.col("m") == F.col("n")).select(*gk, "_n", "_p", "point", "cut", (F.col("before") + F.col("pos")).alias("hits"))
+    part = b.where(F.col("m") < F.col("n"))
+    rows = df.select(*gk, id_col, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("_y"),
+                     group_struct(gk).alias("_gs"))
     # each tied block is ranked once, however many cut points fall inside it
-    tied = rows.join(part.select(*gk, "score").distinct(), gk + ["score"])
-    r = running_totals(tied, id_col, ["_y"], gk + ["score"])
-    cut_hits = (r.join(part, gk + ["score"]).where(F.col("_rn") == F.col("m"))
-                 .select(*gk, "point", (F.col("before") + F.col("cum__y")).alias("hits")))
+    tied = rows.join(checked_broadcast(part.select("_gs", "score").distinct(), "tied-scores"), ["_gs", "score"])
+    r = running_totals(tied, id_col, ["_y"], ["_gs", "score"]).select("_gs", "score", F.col("_rn").alias("m"), "cum__y")
+    cut_hits = part.join(r, ["_gs", "score", "m"]).select(
+        *gk, "_n", "_p", "point", "cut", (F.col("before") + F.col("cum__y")).alias("hits"))
     return whole.unionByName(cut_hits)
 
 
+def _cuts(points: Sequence[float], share) -> Column:
+    """Array of (point, cut = ceil(share of the group's rows))."""
+    return F.array(*[F.struct(F.lit(float(p)).alias("point"), F.ceil(F.round(share(p), 9)).cast("long").alias("cut")) for p in points])
+
+
+def _recall(df: DataFrame, h: DataFrame, gk: list[str], score: str, label: str, id_col: str, ks: Sequence[float]) -> DataFrame:
+    hits = top_n_hits(df, h, gk, _cuts(ks, lambda k: F.lit(float(k)) * F.col("_n")), score, label, id_col)
+    out = hits.select(*gk, F.col("point").alias("k"), "_n", "_p", r6(safe_div(F.col("hits"), F.col("_p"))).alias("recall_at_k"))
+    prev = F.col("_p") / F.col("_n")
+    return out.select(
+        *gk, "k", "recall_at_k",
+        r6(F.col("recall_at_k") / F.col("k")).alias("lift_at_k"),
+        r6(safe_div(F.col("recall_at_k"), F.least(safe_div(F.col("k"), prev), F.lit(1.0)))).alias("pct_ceiling"))
+
+
 def recall_at_k(df: DataFrame, score: str = "score", label: str = "y", id_col: str = "customer_id",
                 ks: Sequence[float] = OPERATIONAL_KS, by: Sequence[str] = ()) -> DataFrame:
     """Share of positives in the top ``ceil(k·N)`` rows (ties broken by id), lift = recall/k and the
     share of the structural ceiling ``min(k/prevalence, 1)``. One row per (group, k)."""
     d, gk = _group_keys(df, by)
-    tot = d.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_p"))
-    kk = F.explode(F.array(*[F.lit(float(k)) for k in ks])).alias("k")
-    grid = tot.select(*gk, "_n", "_p", kk).withColumn(
-        "cut", F.ceil(F.round(F.col("k") * F.col("_n"), 9)).cast("long")).withColumn("point", F.col("k"))
-    hits = top_n_hits(d, grid.select(*gk, "point", "cut"), gk, score, label, id_col)
-    out = grid.join(hits, gk + ["point"], "left").select(
-        *gk, "k", "_n", "_p",
-        r6(safe_div(F.coalesce("hits", F.lit(0)), F.col("_p"))).alias("recall_at_k"))
-    prev = F.col("_p") / F.col("_n")
-    out = out.select(
-        *gk, "k", "recall_at_k",
-        r6(F.col("recall_at_k") / F.col("k")).alias("lift_at_k"),
-        r6(safe_div(F.col("recall_at_k"), F.least(safe_div(F.col("k"), prev), F.lit(1.0)))).alias("pct_ceiling"))
-    return _drop_g(out, by)
+    return _drop_g(_recall(d, cumulative_histogram(d, score, label, gk), gk, score, label, id_col, ks), by)
 
 
 def cost_curve(df: DataFrame, score: str = "score", label: str = "y", by: Sequence[str] = (),
@@ -191,17 +181,14 @@ def gain_curve(df: DataFrame, score: str = "score", label: str = "y", id_col: st
                by: Sequence[str] = (), points: int = 100) -> DataFrame:
     """Cumulative gain at ``points`` contact fractions: captured share, ceiling min(f/prev,1), chance f."""
     d, gk = _group_keys(df, by)
-    tot = d.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_p"))
-    grid = tot.select(*gk, "_n", "_p", F.explode(F.sequence(F.lit(1), F.lit(points))).alias("i")) \
-              .withColumn("cut", F.ceil(F.round(F.col("i") * F.col("_n") / points, 9)).cast("long")) \
-              .withColumn("point", F.col("i").cast("double"))
-    hits = top_n_hits(d, grid.select(*gk, "point", "cut"), gk, score, label, id_col)
-    out = grid.join(hits, gk + ["point"], "left").select(
-        *gk, r6(F.col("i") / points).alias("fraction"),
-        F.col("cut").alias("contacted"),
-        r6(safe_div(F.coalesce("hits", F.lit(0)), F.col("_p"))).alias("captured"),
-        r6(F.least(safe_div(F.col("i") / points, F.col("_p") / F.col("_n")), F.lit(1.0))).alias("ceiling"),
-        r6(F.col("i") / points).alias("chance"))
+    h = cumulative_histogram(d, score, label, gk)
+    hits = top_n_hits(d, h, gk, _cuts(range(1, points + 1), lambda i: F.lit(i) * F.col("_n") / points), score, label, id_col)
+    share = F.col("point") / points
+    out = hits.select(
+        *gk, r6(share).alias("fraction"), F.col("cut").alias("contacted"),
+        r6(safe_div(F.col("hits"), F.col("_p"))).alias("captured"),
+        r6(F.least(safe_div(share, F.col("_p") / F.col("_n")), F.lit(1.0))).alias("ceiling"),
+        r6(share).alias("chance"))
     return _drop_g(out, by)
 
 
@@ -231,17 +218,17 @@ def evaluate(df: DataFrame, score: str = "score", label: str = "y", id_col: str
              threshold: float = 0.5, by: Sequence[str] = (), ks: Sequence[float] = OPERATIONAL_KS) -> DataFrame:
     """Metric bundle per group: AP, ROC-AUC, point metrics, recall/lift/ceiling share at each k."""
     d, gk = _group_keys(df, by)
-    pm = point_metrics(d, score, label, threshold, gk)
-    ap = average_precision(d, score, label, gk)
-    auc = roc_auc(d, score, label, gk)
-    rk = recall_at_k(d, score, label, id_col, ks, gk)
+    h = cumulative_histogram(d, score, label, gk)
+    rk = _recall(d, h, gk, score, label, id_col, ks)
     wide = rk.groupBy(*gk).agg(*[
         F.max(F.when(F.col("k") == float(k), F.col(c))).alias(f"{c.replace('_k', '')}_{int(round(k * 100))}")
         for k in ks for c in ("recall_at_k", "lift_at_k", "pct_ceiling")])
-    if by:
-        out = pm.join(ap, gk, "left").join(auc, gk, "left").join(wide, gk, "left")
-    else:      # one row each: attach as literals (no join of constant keys)
-        out = with_row(with_row(with_row(pm, ap.drop("_g")), auc.drop("_g")), wide.drop("_g"))
+    out = point_metrics(d, score, label, threshold, gk)
+    for more in (_ap_auc(h, gk), wide):
+        if by:
+            out = out.withColumn("_gs", group_struct(gk)).join(more.withColumn("_gs", group_struct(gk)).drop(*gk), "_gs", "left").drop("_gs")
+        else:      # one row each: attach as literals (no join of constant keys)
+            out = with_row(out, more)
     return _drop_g(out, by)
 
 
@@ -269,6 +256,3 @@ def compare_to_registry(current: DataFrame, registry: DataFrame, keys: Sequence[
                     (F.col("value_new").isNull() | F.col("value_old").isNull()
                      | (F.abs(F.col("value_new") - F.col("value_old")) > tol)).alias("mismatch"))
 
-
-def _ceil_k(k: float, n: int) -> int:
-    return int(math.ceil(round(k * n, 9)))

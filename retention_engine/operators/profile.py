@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import r6
 from .drift import long_categorical, long_numeric
 from .quantiles import exact_quantiles
-from .ranking import with_row
+from .ranking import checked_broadcast, with_row
 
 
 def target_distribution(df: DataFrame, label: str = "y") -> DataFrame:
@@ -61,7 +61,8 @@ def outliers_and_corr(df: DataFrame, nums: Sequence[str], label: str = "y") -> D
     st = long.groupBy("feature").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"),
                                      r6(F.min("value")).alias("min"), r6(F.max("value")).alias("max"),
                                      r6(F.corr("value", F.col(label).cast("double"))).alias("corr_target"))
-    j = long.join(st.select("feature", "_m", "_s"), "feature")       # one row per feature: broadcast
+    st = checked_broadcast(st, "column-stats")       # one row per feature
+    j = long.join(st.select("feature", "_m", "_s"), "feature")
     z = j.groupBy("feature").agg(F.count_if(F.abs((F.col("value") - F.col("_m")) / F.col("_s")) > 3).alias("outliers"))
     return st.join(z, "feature").drop("_m", "_s")
 

@@ -4,7 +4,8 @@ Spark's exact ``percentile`` keeps every distinct value of a group in one aggreg
 large feature becomes one huge task. Here values are first reduced to a histogram (value, count) with
 map-side partial aggregation, ranked with :func:`ranking.running_totals` (chunked, no single-partition
 window), and each requested quantile reads the one or two histogram rows whose rank range covers its
-interpolation points. The only thing joined to the data is the (group × probs) target list.
+interpolation points. The only thing joined to the data is the (group × probs) target list, broadcast after its rows
+were counted, so a feature that holds most rows does not meet in one task. Null groups are groups like any other.
 """
 from __future__ import annotations
 
@@ -13,12 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import _drop_g, _group_keys, running_totals, with_row
-
-
-def _join_groups(a: DataFrame, b: DataFrame, gk, by) -> DataFrame:
-    """Equi-join on the group keys; without groups ``b`` is one summary row attached as literals."""
-    return a.join(b, gk) if by else with_row(a, b.drop("_g"))
+from ..session import materialize
+from .ranking import _drop_g, _group_keys, checked_broadcast, group_struct, running_totals
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -27,38 +24,24 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     Null values are ignored; groups without values yield no rows.
     """
     d, gk = _group_keys(df.where(F.col(value).isNotNull()), by)
-    hist = d.groupBy(*gk, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_totals(hist, "_v", ["_c"], gk)
-    tot = hist.groupBy(*gk).agg(F.sum("_c").alias("_n"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = tot.select(*gk, "_n", F.explode(probs_arr).alias("prob")).select(
-        *gk, "prob",
-        ((F.col("_n") - 1) * F.col("prob")).alias("_h"))
-    targets = targets.withColumn("_lo", F.floor("_h").cast("long")) \
-                     .withColumn("_frac", F.col("_h") - F.col("_lo"))
-    # the two ranks needed per target (1-based), capped at n
-    pts = _join_groups(targets, tot.drop("_g") if not by else tot, gk, by).select(
-        *gk, "prob", "_frac",
-        F.explode(F.array(F.struct(F.lit(0).alias("side"), (F.col("_lo") + 1).alias("rank")),
-                          F.struct(F.lit(1).alias("side"),
-                                   F.least(F.col("_lo") + 2, F.col("_n")).alias("rank")))).alias("p"))
-    want = pts.groupBy(*gk).agg(F.collect_list(F.struct("prob", "_frac", "p.side", "p.rank")).alias("_want"))
-    hit = (ranked.withColumn("_start", F.col("cum__c") - F.col("_c") + 1)
-                 .transform(lambda x: _join_groups(x, want, gk, by))
-                 .select(*gk, "_v", F.explode(F.filter(
-                     "_want", lambda w: (w["rank"] >= F.col("_start")) & (w["rank"] <= F.col("cum__c")))).alias("w")))
+    hist = materialize(d.groupBy(*gk, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")), "histogram")
+    ranked = running_totals(hist, "_v", ["_c"], gk).withColumn("_gs", group_struct(gk))
+    # per target: interpolation point h, and the two ranks needed (1-based, capped at n)
+    target = lambda p: F.struct(F.lit(float(p)).alias("prob"), ((F.col("_n") - 1) * F.lit(float(p))).alias("h"))
+    want = hist.groupBy(*gk).agg(F.sum("_c").alias("_n")).select(
+        group_struct(gk).alias("_gs"), F.transform(F.array(*[target(p) for p in probs]), lambda t: F.struct(
+            t["prob"].alias("prob"), (t["h"] - F.floor(t["h"])).alias("frac"), (F.floor(t["h"]) + 1).alias("lo"),
+            F.least(F.floor(t["h"]) + 2, F.col("_n")).alias("hi"))).alias("_want"))
+    start = F.col("cum__c") - F.col("_c") + 1
+    covers = lambda rank: (rank >= start) & (rank <= F.col("cum__c"))
+    hit = (ranked.join(checked_broadcast(want, "quantile-targets"), "_gs")
+                 .select(*gk, "_v", start.alias("_start"), "cum__c",
+                         F.explode(F.filter("_want", lambda w: covers(w["lo"]) | covers(w["hi"]))).alias("w"))
+                 .withColumn("_at", (F.col("w.lo") >= F.col("_start")) & (F.col("w.lo") <= F.col("cum__c")))
+                 .withColumn("_bt", (F.col("w.hi") >= F.col("_start")) & (F.col("w.hi") <= F.col("cum__c"))))
     out = hit.groupBy(*gk, F.col("w.prob").alias("prob")).agg(
-        F.max(F.when(F.col("w.side") == 0, F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("w.side") == 1, F.col("_v"))).alias("_b"),
-        F.max("w._frac").alias("_t"))
+        F.max(F.when(F.col("_at"), F.col("_v"))).alias("_a"), F.max(F.when(F.col("_bt"), F.col("_v"))).alias("_b"),
+        F.max("w.frac").alias("_t"))
     q = F.when(F.col("_t") >= 0.5, F.col("_b") - (F.col("_b") - F.col("_a")) * (1 - F.col("_t"))) \
          .otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t"))
     return _drop_g(out.select(*gk, "prob", q.alias("quantile")), by)
-
-
-def quantiles_wide(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                   by: Sequence[str] = ()) -> DataFrame:
-    """Same as :func:`exact_quantiles`, one column per prob (named by ``names``)."""
-    q = exact_quantiles(df, value, probs, by)
-    aggs = [F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n) for p, n in zip(probs, names)]
-    return q.groupBy(*by).agg(*aggs)

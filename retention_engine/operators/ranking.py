@@ -1,10 +1,12 @@
 """Global ranks and running totals without a single-partition window.
 
-A window ordered over *all* rows (``Window.orderBy(score)``) pulls the table into one task. Here the
-order key is cut into contiguous chunks at approximate quantiles (a bounded sketch per group); each
-chunk is ranked by a window partitioned by ``(group, chunk)`` and shifted by the exact totals of the
-chunks before it. Results are exact — the approximate quantiles only decide where chunks end — and
-one hot group is split over many chunks instead of landing in one task.
+A window ordered over *all* rows (``Window.orderBy(score)``) pulls the table into one task. Here the rows are
+range-partitioned by (group, order key): every partition is a contiguous chunk of a group's order, found by Spark's own
+range partitioner. Each chunk is ranked by a window partitioned by ``(group, chunk)`` and shifted by the exact totals
+of the chunks before it. Results are exact, and a hot group is spread over many chunks. The chunked rows are written
+once, because totals and ranks must see the same chunks.
+
+Groups are compared as one struct, so null group values are a group like any other.
 """
 from __future__ import annotations
 
@@ -15,8 +17,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ID_BITS = 41          # ids must be in [0, 2^41) to build the composite (score desc, id asc) key
-SCORE_SCALE = 1_000_000
+from ..session import materialize
+
+#: Rows of a table that may be broadcast after they were counted.
+BROADCAST_ROWS = 100_000
+
+
+def checked_broadcast(df: DataFrame, name: str = "small") -> DataFrame:
+    """``df``, written once, with a broadcast hint if it has at most ``BROADCAST_ROWS`` rows; beyond that Spark joins it by a
+    shuffle."""
+    df = materialize(df, name)
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def group_struct(gk: Sequence[str]) -> Column:
+    """The group as one value; structs with null fields are equal to each other in joins."""
+    return F.struct(*[F.col(c) for c in gk])
 
 
 def _group_keys(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -29,30 +45,8 @@ def _drop_g(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df if by else df.drop("_g")
 
 
-def score_id_key(score, id_col) -> Column:
-    """Long key whose ascending order is (score rounded to 6 dp) descending, then id ascending."""
-    s = F.col(score) if isinstance(score, str) else score
-    i = F.col(id_col) if isinstance(id_col, str) else id_col
-    q = F.round(s * F.lit(SCORE_SCALE)).cast("long")
-    return (F.lit(SCORE_SCALE) - q) * F.lit(1 << ID_BITS) + i.cast("long")
-
-
-MAX_INLINE_GROUPS = 32
-
-
-def _count_below(bounds: list[float], x) -> Column:
-    """Number of ``bounds`` (sorted) strictly below ``x`` as a balanced tree of comparisons
-    (binary search compiled into the generated code; no per-row array)."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.lit(float(bounds[mid])) < x, build(mid + 1, hi)).otherwise(build(lo, mid))
-    return build(0, len(bounds))
-
-
 def default_chunks(df: DataFrame) -> int:
-    return max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
 def running_totals(df: DataFrame, key: str, cols: Sequence[str] = (), by: Sequence[str] = (),
@@ -60,46 +54,27 @@ def running_totals(df: DataFrame, key: str, cols: Sequence[str] = (), by: Sequen
                    tiebreak: Sequence[str] = ()) -> DataFrame:
     """Add ``_rn`` (1-based rank by ``key`` then ``tiebreak`` within ``by``) and ``cum_<c>`` (inclusive
     running sums). ``(key, tiebreak)`` must be unique within each group so the result is deterministic.
-    Rows sharing a ``key`` always land in the same chunk, so the tie-break order is global.
+    Rows sharing a ``key`` always land in the same chunk, so the tie-break order is global. Null keys come first
+    (last when descending).
     """
-    chunks = chunks or default_chunks(df)
     d, gk = _group_keys(df, by)
-    kexpr = -F.col(key).cast("double") if descending else F.col(key).cast("double")
-    d = d.withColumn("_kd", kexpr)
-    probs = [i / chunks for i in range(1, chunks)]
-    bounds = d.groupBy(*gk).agg(F.percentile_approx("_kd", probs, 10000).alias("_bounds"))
-    # Chunk boundaries are a bounded sketch (groups × chunks numbers). With few groups they are
-    # inlined as a compiled binary search; otherwise joined back and searched per row.
-    small = bounds.limit(MAX_INLINE_GROUPS + 1).collect()
-    if len(small) <= MAX_INLINE_GROUPS:
-        kd = F.col("_kd")
-        expr = F.lit(0)
-        for r in small:
-            b = sorted(float(v) for v in (r["_bounds"] or []))
-            cond = None
-            for g in gk:
-                c = F.col(g).eqNullSafe(F.lit(r[g]))
-                cond = c if cond is None else cond & c
-            expr = F.when(cond, _count_below(b, kd)).otherwise(expr)
-        d = d.withColumn("_chunk", expr)
-    else:
-        d = (d.join(bounds, gk)
-              .withColumn("_chunk", F.size(F.filter("_bounds", lambda b: b < F.col("_kd"))))
-              .drop("_bounds"))
-    tot = d.groupBy(*gk, "_chunk").agg(F.count(F.lit(1)).alias("_cn"),
-                                       *[F.sum(c).alias(f"_cs_{c}") for c in cols])
-    w_before = Window.partitionBy(*gk).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*gk, "_chunk",
-                      F.coalesce(F.sum("_cn").over(w_before), F.lit(0)).alias("_on"),
-                      *[F.coalesce(F.sum(f"_cs_{c}").over(w_before), F.lit(0)).alias(f"_os_{c}")
-                        for c in cols])
-    d = d.join(offs, gk + ["_chunk"])
+    kd = F.col(key).cast("double")
+    order_key = (-kd).asc_nulls_last() if descending else kd.asc_nulls_first()
+    d = (d.repartitionByRange(chunks or default_chunks(df), *[F.col(g) for g in gk], order_key)
+          .withColumn("_chunk", F.spark_partition_id()).withColumn("_grp", group_struct(gk)))
+    d = materialize(d, "chunks")
+    tot = d.groupBy("_grp", "_chunk").agg(F.count(F.lit(1)).alias("_cn"), *[F.sum(c).alias(f"_cs_{c}") for c in cols])
+    w_before = Window.partitionBy("_grp").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_grp", "_chunk", F.coalesce(F.sum("_cn").over(w_before), F.lit(0)).alias("_on"),
+                      *[F.coalesce(F.sum(f"_cs_{c}").over(w_before), F.lit(0)).alias(f"_os_{c}") for c in cols])
     order = [F.col(key).desc() if descending else F.col(key).asc()] + [F.col(t).asc() for t in tiebreak]
-    w_loc = Window.partitionBy(*gk, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_rn", F.col("_on") + F.row_number().over(w_loc))
+    w_loc = Window.partitionBy("_grp", "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.select("*", F.row_number().over(w_loc).alias("_rl"), *[F.sum(c).over(w_loc).alias(f"_cl_{c}") for c in cols])
+    d = d.join(offs, ["_grp", "_chunk"])
+    d = d.withColumn("_rn", F.col("_on") + F.col("_rl"))
     for c in cols:
-        d = d.withColumn(f"cum_{c}", F.col(f"_os_{c}") + F.sum(c).over(w_loc))
-    d = d.drop("_kd", "_chunk", "_on", *[f"_os_{c}" for c in cols])
+        d = d.withColumn(f"cum_{c}", F.col(f"_os_{c}") + F.col(f"_cl_{c}"))
+    d = d.drop("_chunk", "_grp", "_on", "_rl", *[f"_os_{c}" for c in cols], *[f"_cl_{c}" for c in cols])
     return _drop_g(d, by)
 
 

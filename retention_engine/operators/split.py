@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import hash_key, hash_uniform
 from ..session import materialize
-from .ranking import running_totals
+from .ranking import checked_broadcast, group_struct, running_totals
 
 TEST_SHARE = 0.20
 VAL_SHARE_OF_REST = 0.25     # 0.2 / 0.8 of what is left after the test cut
@@ -23,8 +23,8 @@ SEED = "42"
 def _stratum_rank(df: DataFrame, label: str, id_col: str, seed: str) -> DataFrame:
     d = df.withColumn("_h", hash_key(id_col, seed)).withColumn("_one", F.lit(1))
     r = running_totals(d, "_h", ["_one"], [label], tiebreak=[id_col])
-    n = r.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))     # one row per stratum
-    return r.join(n, label).drop("_one", "cum__one", "_h")
+    n = d.groupBy(group_struct([label]).alias("_gs")).agg(F.count(F.lit(1)).alias("_n"))     # one row per stratum
+    return r.withColumn("_gs", group_struct([label])).join(checked_broadcast(n, "strata"), "_gs").drop("_one", "cum__one", "_h", "_gs")
 
 
 def stratified_split(df: DataFrame, label: str = "y", id_col: str = "customer_id", seed: str = SEED,

@@ -29,7 +29,7 @@ def ap_sql(src: str, by=(), score="score", y="y") -> str:
       SELECT {_gc(by)} pos,
         sum(n) OVER ({_part(by)}ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cn,
         sum(pos) OVER ({_part(by)}ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cp
-      FROM (SELECT {_gc(by)} round({score}, 6) AS s, count(*) AS n, sum({y}) AS pos FROM {src}
+      FROM (SELECT {_gc(by)} CAST({score} AS DOUBLE) AS s, count(*) AS n, sum({y}) AS pos FROM {src}
             GROUP BY {_gc(by)} s) h) c {"GROUP BY " + _g(by) if by else ""})"""
 
 
@@ -37,7 +37,7 @@ def auc_sql(src: str, by=(), score="score", y="y") -> str:
     return f"""(SELECT {_gc(by)} round(sum(pos * (cneg - neg + 0.5 * neg)) / nullif(sum(pos) * sum(neg), 0), 6) AS roc_auc FROM (
       SELECT {_gc(by)} pos, neg,
         sum(neg) OVER ({_part(by)}ORDER BY s ASC ROWS UNBOUNDED PRECEDING) AS cneg
-      FROM (SELECT {_gc(by)} round({score}, 6) AS s, sum({y}) AS pos, count(*) - sum({y}) AS neg FROM {src}
+      FROM (SELECT {_gc(by)} CAST({score} AS DOUBLE) AS s, sum({y}) AS pos, count(*) - sum({y}) AS neg FROM {src}
             GROUP BY {_gc(by)} s) h) c {"GROUP BY " + _g(by) if by else ""})"""
 
 
@@ -65,7 +65,7 @@ def recall_k_sql(src: str, by=(), ks=(0.1, 0.2), score="score", y="y", idc="cust
       SELECT {_gc(by)} k, max(n) AS n, max(p) AS p,
              round(coalesce(sum(y) FILTER (WHERE rn <= ceil(round(k * n, 9))), 0) / nullif(max(p), 0), 6) AS recall_at_k
       FROM (SELECT {_gc(by)} {y} AS y,
-              row_number() OVER ({_part(by)}ORDER BY round({score}, 6) DESC, {idc}) AS rn,
+              row_number() OVER ({_part(by)}ORDER BY CAST({score} AS DOUBLE) DESC, {idc}) AS rn,
               count(*) OVER ({_part(by)}) AS n, sum({y}) OVER ({_part(by)}) AS p
             FROM {src}) r, (SELECT unnest({kl}) AS k) kk
       GROUP BY {_gc(by)} k) q)"""
