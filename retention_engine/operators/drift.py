@@ -86,7 +86,7 @@ def compare_numeric(baseline: DataFrame, window: DataFrame, features: Sequence[s
     """
     # features absent from the window are omitted (schema check); features absent from the baseline
     # drop out in the key join with the baseline — no extra job
-    num_types = ("double", "float", "int", "bigint", "smallint", "tinyint", "string")
+    num_types = ("double", "float", "int", "bigint", "smallint", "tinyint", "decimal", "string")
     feats = [f for f in (features or window.columns) if f in window.columns
              and (features is not None or dict(window.dtypes)[f].startswith(num_types))]
     if not feats:          # nothing measured: an empty report, not a report of zeros

@@ -7,8 +7,10 @@ normal distributed job.
 """
 from __future__ import annotations
 
+import hashlib
 import json
 import os
+import re
 import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -20,6 +22,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,7 +75,8 @@ def classifier(kind: str, n_train: int, label: str = "y", weight_col: str | None
     if kind == "rf":
         return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=kw.get("numTrees", 300),
                                       minInstancesPerNode=kw.get("minInstancesPerNode", 5),
-                                      featureSubsetStrategy="sqrt", maxDepth=kw.get("maxDepth", 12), seed=seed)
+                                      featureSubsetStrategy="sqrt", maxDepth=kw.get("maxDepth", 30),
+                                      maxBins=kw.get("maxBins", 64), seed=seed)
     if kind == "gbt":
         return GBTClassifier(featuresCol="features", labelCol=label, maxIter=kw.get("maxIter", 100),
                              stepSize=kw.get("stepSize", 0.1), maxDepth=kw.get("maxDepth", 3),
@@ -84,10 +88,10 @@ def classifier(kind: str, n_train: int, label: str = "y", weight_col: str | None
 
 
 def balanced_weights(df: DataFrame, label: str = "y") -> DataFrame:
-    """class_weight='balanced': w = n / (2 · n_class), from one aggregate."""
-    c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    n = df.count()
-    return df.join(c, label).withColumn("weight", F.lit(n) / (2.0 * F.col("_nc"))).drop("_nc")
+    """class_weight='balanced': w = n / (classes · n_class), from one aggregate, attached as literals."""
+    c = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}      # one row per class
+    w = F.coalesce(*[F.when(F.col(label).eqNullSafe(F.lit(k)), F.lit(sum(c.values()) / (len(c) * v))) for k, v in c.items()])
+    return df.withColumn("weight", w)
 
 
 def score(model: PipelineModel, df: DataFrame, threshold: float | None = None, version: str | None = None) -> DataFrame:
@@ -184,26 +188,51 @@ def cross_validate(folds: DataFrame, configs: Sequence[dict], zero, nums, cats,
 
 # ---- artefact: model + metadata + frozen baselines, written and verified together -------------------
 
-def save_artifact(model: PipelineModel, metadata: dict, baselines: dict[str, DataFrame], path: str) -> str:
+def save_artifact(model: PipelineModel, metadata: dict, baselines: dict[str, DataFrame], path: str, keep_version: bool = False) -> str:
     """Write model, metadata (versions, features, threshold, metrics, lineage) and baseline tables to
-    one folder; returns a content fingerprint (sha256 over every file)."""
+    one folder; returns a fingerprint of what the artefact says. ``keep_version`` leaves the metadata's own Spark version."""
     spark = next(iter(baselines.values())).sparkSession
     model.write().overwrite().save(os.path.join(path, "model"))
-    meta = dict(metadata, spark_version=pyspark.__version__, format=1,
+    version = metadata.get("spark_version") if keep_version else None
+    meta = dict(metadata, spark_version=version or pyspark.__version__, format=1,
                 saved_at=time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()))
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string") \
         .coalesce(1).write.mode("overwrite").text(os.path.join(path, "metadata"))
     for name, df in baselines.items():
         df.write.mode("overwrite").parquet(os.path.join(path, f"baseline_{name}"))
-    return artifact_fingerprint(spark, path)
+    return artifact_fingerprint(model, meta, baselines)
 
 
-def artifact_fingerprint(spark, path: str) -> str:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) \
-        .where(~F.col("path").contains("/_") & ~F.col("path").endswith(".crc"))
-    h = files.select(F.sha2(F.concat_ws(":", F.regexp_replace("path", f"^.*?{os.path.basename(path)}", ""),
-                                        F.sha2("content", 256)), 256).alias("h"))
-    return h.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256)).first()[0]
+#: What differs between two savings of one artefact.
+SAVING = ("saved_at",)
+
+
+def artifact_fingerprint(model: PipelineModel, meta: dict, baselines: dict[str, DataFrame]) -> str:
+    """sha256 over the fitted stages, the metadata and the rows of the baselines: one artefact saved twice has one
+    fingerprint, whatever its files are called."""
+    stages = []
+    for st in model.stages:
+        says = {p.name: v for p, v in st.extractParamMap().items()}
+        for name in ("coefficients", "intercept", "toDebugString", "weights"):
+            says[name] = getattr(st, name, None)
+        says.pop("toDebugString") if says["toDebugString"] is None else says.update(
+            toDebugString=re.sub(r"uid=[^,)]*", "", says["toDebugString"]))
+        stages.append([type(st).__name__, {k: str(v) for k, v in sorted(says.items())}])
+    parts = [json.dumps(stages, sort_keys=True), json.dumps({k: v for k, v in meta.items() if k not in SAVING}, sort_keys=True)]
+    for name, df in sorted(baselines.items()):
+        h = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]))).cast("decimal(38,0)")
+        parts.append(f"{name}:{df.agg(F.count('*'), F.sum(h)).first()}")
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
+def read_if_there(read):
+    """What ``read()`` gives, or None where its path does not exist; every other error is raised."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 class ArtifactError(ValueError):
@@ -213,7 +242,8 @@ class ArtifactError(ValueError):
 def load_artifact(spark, path: str, strict: bool = True):
     """Load with the four checks: format, library version, declared features = pipeline features (in
     order), baseline present with scores and covering exactly the numeric/categorical features."""
-    meta_rows = spark.read.text(os.path.join(path, "metadata")).collect()
+    text = read_if_there(lambda: spark.read.text(os.path.join(path, "metadata")))
+    meta_rows = text.collect() if text is not None else []
     if not meta_rows:
         raise ArtifactError("metadata missing")
     meta = json.loads(meta_rows[0][0])
@@ -227,10 +257,9 @@ def load_artifact(spark, path: str, strict: bool = True):
         raise ArtifactError("declared features differ from the pipeline's features")
     base = {}
     for name in ("numeric", "categorical", "score"):
-        p = os.path.join(path, f"baseline_{name}")
-        if not os.path.exists(p.replace("file:", "")):
+        base[name] = read_if_there(lambda name=name: spark.read.parquet(os.path.join(path, f"baseline_{name}")))
+        if base[name] is None:
             raise ArtifactError(f"baseline_{name} missing")
-        base[name] = spark.read.parquet(p)
     covered = {r["feature"] for r in base["numeric"].select("feature").union(base["categorical"].select("feature")).distinct().collect()}
     if covered != set(meta.get("raw_features", [])):
         raise ArtifactError("baseline does not cover exactly the raw features")

@@ -88,6 +88,22 @@ def output_names(stats: dict, encoding: str) -> list[str]:
     return names
 
 
+def output_is_categorical(stats: dict, encoding: str) -> list[bool]:
+    """For each output name, whether it stands for a categorical column (one-hot slots and ordinal codes alike)."""
+    n = len(stats["numeric"])
+    return [i >= n for i in range(len(output_names(stats, encoding)))]
+
+
+#: Marks the columns that a fitted preprocessor makes, so that the assembler takes those and no others.
+MADE = "prep_output"
+
+
+def _made(c: Column, name: str, levels: list[str] | None = None) -> Column:
+    """An output column; an ordinal code carries its levels as a nominal attribute, which trees read."""
+    attr = {"ml_attr": {"name": name, "type": "nominal", "vals": levels}} if levels else {}
+    return c.alias(name, metadata={MADE: True, **attr})
+
+
 class _PrepParams(Params):
     zeroCols = Param(Params._dummy(), "zeroCols", "numeric columns whose blank means 0", TypeConverters.toListString)
     numCols = Param(Params._dummy(), "numCols", "numeric columns imputed by the median", TypeConverters.toListString)
@@ -137,10 +153,17 @@ class PreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         st = self.fitted
         enc = self.getOrDefault("encoding")
         nums = sorted(st["numeric"], key=lambda c: st["numeric"][c]["group"] != "zero")
-        cols = [scaled(c, st["numeric"][c]).alias(f"{c}_z") for c in nums]
+        cols = [scaled(c, st["numeric"][c]) for c in nums]
+        levels: list[list[str] | None] = [None] * len(nums)
         for c, s in st["categorical"].items():
-            cols += onehot_columns(c, s) if enc == "onehot" else [ordinal_column(c, s)]
-        return df.select("*", *cols)
+            new = onehot_columns(c, s) if enc == "onehot" else [ordinal_column(c, s)]
+            cols += new
+            levels += [None] * len(new) if enc == "onehot" else [s["vocab"]]
+        names = self.feature_names()
+        clash = set(names) & set(df.columns)
+        if clash:
+            raise ValueError(f"input columns have the names of encoded features: {sorted(clash)}")
+        return df.select("*", *[_made(c, n, v) for c, n, v in zip(cols, names, levels, strict=True)])
 
 
 def build_pipeline(classifier, zero_cols, num_cols, cat_cols, encoding="onehot", exclude=(),
@@ -161,12 +184,12 @@ def build_pipeline(classifier, zero_cols, num_cols, cat_cols, encoding="onehot",
 
 
 class _AssemblerFromPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Assemble every ``*_z`` / one-hot / code column produced by the preceding Preprocessor."""
+    """Assemble the columns that the preceding Preprocessor made, in its order, and no others."""
 
     inputCols = Param(Params._dummy(), "inputCols", "assembled columns (set at fit)", TypeConverters.toListString)
 
     def _fit(self, df: DataFrame):
-        prep_cols = [c for c in df.columns if c.endswith("_z") or c.endswith("_code") or "=" in c]
+        prep_cols = [f.name for f in df.schema.fields if (f.metadata or {}).get(MADE)]
         return VectorAssembler(inputCols=prep_cols, outputCol="features", handleInvalid="keep")
 
 

@@ -57,15 +57,16 @@ def envelopes(summary: DataFrame, k_folds: int = 15, n_splits: int = 5, key: str
 
 
 def edge_warnings(chosen: DataFrame, grid: DataFrame) -> DataFrame:
-    """Chosen value at the edge of the declared grid (log axes: within 10 % of the log range);
-    natural limits are exempt. ``grid``: (param, lo, hi, log_scale, natural_lo, natural_hi)."""
+    """Chosen value at the edge of the declared grid. A listed axis is at its edge at its exact ends, a continuous one
+    strictly within 10 % of its range (of the logarithms on log axes); natural limits are exempt.
+    ``grid``: (param, lo, hi, continuous, log_scale, natural_lo, natural_hi)."""
     long = chosen.unpivot([], [r for r in chosen.columns], "param", "value")
     j = long.join(grid, "param")
     span = F.when(F.col("log_scale"), F.log10("hi") - F.log10("lo")).otherwise(F.col("hi") - F.col("lo"))
     pos = F.when(F.col("log_scale"), F.log10("value") - F.log10("lo")).otherwise(F.col("value") - F.col("lo"))
     rel = pos / span
-    low = (rel <= 0.1) & ~F.col("natural_lo")
-    high = (rel >= 0.9) & ~F.col("natural_hi")
+    low = F.when(F.col("continuous"), rel < 0.1).otherwise(F.col("value") == F.col("lo")) & ~F.col("natural_lo")
+    high = F.when(F.col("continuous"), rel > 0.9).otherwise(F.col("value") == F.col("hi")) & ~F.col("natural_hi")
     return j.select("param", "value", "lo", "hi", (low | high).alias("at_edge"),
                     F.when(low, "low").when(high, "high").alias("side"))
 

@@ -6,6 +6,7 @@ by many tasks. Proportions are exact per stratum (not "about 20 %").
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -78,10 +79,9 @@ def poisson_bootstrap_weights(df: DataFrame, replicates: int, id_col: str = "cus
     """
     reps = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
     u = hash_uniform(F.concat_ws("#", F.col(id_col).cast("string"), F.col("replicate").cast("string")), seed)
-    # Poisson(1) CDF at 0..7
-    cdf = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-           0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
-    w = F.lit(8)
+    # Poisson(1) distribution function until it is one in double precision
+    cdf = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(18)]
+    w = F.lit(len(cdf))
     for i in reversed(range(len(cdf))):
         w = F.when(u < F.lit(cdf[i]), F.lit(i)).otherwise(w)
     return reps.withColumn("weight", w).where(F.col("weight") > 0)

@@ -7,7 +7,8 @@ from ..functions.columns import r6
 from ..operators import fairness as FA
 from ..operators import models as MD
 from ..operators import selection as SE
-from ..operators.split import repeated_folds, stratified_split
+from ..operators.split import holdout_split, repeated_folds, stratified_split
+from ..session import scratch_path
 from .common import snapshot
 from .registry import query
 
@@ -34,11 +35,10 @@ def q_lr_validation(spark, sf_dir):
 def q_model_families(spark, sf_dir):
     """Prior, LR, LR on an 85 % budget, unpruned tree, forest, boosting and an MLP on the same split."""
     tr, va = _split(spark, sf_dir)
-    from ..functions.columns import hash_uniform
-    budget = tr.where(hash_uniform("customer_id", "budget") < 0.85)
+    budget = holdout_split(tr, 0.15, LABEL).where("part = 'fit'").drop("part")
     d = len(MD.fit_pipeline(tr, "prior", ZERO, NUMS, CATS, label=LABEL).stages[-3].feature_names())
     specs = [("prior", tr, {}), ("lr", tr, {}), ("lr_budget85", budget, {}), ("tree", tr, {}),
-             ("rf", tr, {"numTrees": 300}), ("gbt", tr, {}), ("mlp_16", tr, {"layers": [d, 16, 2]})]
+             ("lr_balanced", MD.balanced_weights(tr, LABEL), {"weight_col": "weight"}), ("rf", tr, {"numTrees": 300}), ("gbt", tr, {}), ("mlp_16", tr, {"layers": [d, 16, 2]})]
     rows = []
     for name, data, kw in specs:
         kind = name.split("_")[0]
@@ -118,6 +118,39 @@ def q_promote_artifact(spark, sf_dir):
                                  "ap double, brier double, approved boolean, written boolean, round_trip_identical boolean")
 
 
+@query("promote_approved", ops=("G3", "G4", "G5", "G7", "IO6", "IO7"), sql="""
+SELECT * FROM (VALUES ('approved', true), ('written', true), ('round trip identical', true), ('same content, same fingerprint', true),
+  ('load', true), ('refuses metadata missing', true), ('refuses declared features', true), ('refuses library version', true),
+  ('refuses baseline missing', true)) v("check", ok)""")
+def q_promote_approved(spark, sf_dir):
+    """The same promotion with limits that the model meets (AP ≥ 0.1, Brier ≤ 0.5, parameters of this query), so that
+    the save, the four load checks and the round trip run; then each refusal on a spoiled copy."""
+    tr, va = _split(spark, sf_dir)
+    r = MD.promote(spark, tr, va, "lr", ZERO, NUMS, CATS, LABEL, threshold=0.29, min_ap=0.1, max_brier=0.5, lineage={"source": sf_dir})
+    model, meta, base = MD.load_artifact(spark, r["path"])
+    rows = [("approved", r["approved"]), ("written", r["written"]), ("round trip identical", r["round_trip_identical"])]
+    again = scratch_path(spark, "artifact-again")
+    rows.append(("same content, same fingerprint", MD.save_artifact(model, meta, base, again) == r["fingerprint"]))
+    rows.append(("load", MD.load_artifact(spark, again)[1]["features"] == meta["features"]))
+
+    def refuses(what: str, path: str) -> bool:
+        try:
+            MD.load_artifact(spark, path)
+        except MD.ArtifactError as e:
+            return what in str(e)
+        return False
+    spoiled = {"declared features": dict(meta, features=meta["features"][1:]), "library version": dict(meta, spark_version="0")}
+    rows.append(("refuses metadata missing", refuses("metadata missing", scratch_path(spark, "artifact-none"))))
+    for what, m in spoiled.items():
+        path = scratch_path(spark, "artifact-spoiled")
+        MD.save_artifact(model, m, base, path, keep_version=True)
+        rows.append((f"refuses {what}", refuses({"library version": "saved with Spark"}.get(what, what), path)))
+    path = scratch_path(spark, "artifact-bare")
+    MD.save_artifact(model, meta, {k: v for k, v in base.items() if k != "score"}, path)
+    rows.append(("refuses baseline missing", refuses("baseline_score missing", path)))
+    return spark.createDataFrame(rows, "check string, ok boolean")
+
+
 @query("unawareness_audit", ops=("Q7", "Q8"))
 def q_unawareness_audit(spark, sf_dir):
     """Drop the sensitive attribute (region), refit, re-audit recall disparity across regions."""
@@ -152,11 +185,14 @@ def q_rfe_selection(spark, sf_dir):
 
 @query("categorical_mask", ops=("F9", "F10", "F8"))
 def q_categorical_mask(spark, sf_dir):
-    """Output feature names in assembled order with a flag for categorical (one-hot) slots."""
+    """Output feature names in assembled order with a flag for those of categorical columns, for both encodings."""
     tr, _ = _split(spark, sf_dir)
-    from ..operators.prep import Preprocessor
-    names = Preprocessor(zeroCols=ZERO, numCols=NUMS, catCols=CATS).fit(tr).feature_names()
-    return spark.createDataFrame([(i, n, "=" in n) for i, n in enumerate(names)], "idx int, feature string, categorical boolean")
+    from ..operators.prep import Preprocessor, output_is_categorical
+    rows = []
+    for enc in ("onehot", "ordinal"):
+        m = Preprocessor(zeroCols=ZERO, numCols=NUMS, catCols=CATS, encoding=enc).fit(tr)
+        rows += [(enc, i, n, c) for i, (n, c) in enumerate(zip(m.feature_names(), output_is_categorical(m.fitted, enc), strict=True))]
+    return spark.createDataFrame(rows, "encoding string, idx int, feature string, categorical boolean")
 
 
 @query("encoding_effect", ops=("V3",))

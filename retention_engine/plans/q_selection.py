@@ -112,22 +112,32 @@ def q_cv_envelopes(spark, sf_dir):
 best AS (SELECT mean - std / sqrt(k) AS cut FROM summ ORDER BY mean DESC, candidate LIMIT 1),
 ch AS (SELECT "C", l1 FROM summ, best WHERE mean >= round(cut, 6) ORDER BY "C", l1 DESC, candidate LIMIT 1),
 long AS (SELECT 'C' AS param, "C" AS value FROM ch UNION ALL SELECT 'l1', l1 FROM ch),
-grid AS (SELECT * FROM (VALUES ('C', 0.001, 100.0, true, false, false), ('l1', 0.0, 1.0, false, true, true))
-         g(param, lo, hi, log_scale, natural_lo, natural_hi)),
-j AS (SELECT l.param, l.value, g.lo, g.hi,
-        CASE WHEN g.log_scale THEN (log10(l.value) - log10(g.lo)) / (log10(g.hi) - log10(g.lo)) ELSE (l.value - g.lo) / (g.hi - g.lo) END AS rel,
-        g.natural_lo, g.natural_hi FROM long l JOIN grid g USING (param))
-SELECT param, value, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi,
-       (rel <= 0.1 AND NOT natural_lo) OR (rel >= 0.9 AND NOT natural_hi) AS at_edge,
-       CASE WHEN rel <= 0.1 AND NOT natural_lo THEN 'low' WHEN rel >= 0.9 AND NOT natural_hi THEN 'high' END AS side FROM j""")
+more AS (SELECT * FROM long UNION ALL SELECT * FROM (VALUES ('depth', 2.0), ('leaves', 1.0), ('rate', 0.0015), ('rate', 0.01)) x(param, value)),
+grid AS (SELECT * FROM (VALUES ('C', 0.001, 100.0, false, true, false, false), ('l1', 0.0, 1.0, false, false, true, true),
+         ('depth', 1.0, 20.0, false, false, false, false), ('leaves', 1.0, 20.0, false, false, false, false),
+         ('rate', 0.001, 1.0, true, true, false, false))
+         g(param, lo, hi, continuous, log_scale, natural_lo, natural_hi)),
+j AS (SELECT l.param, l.value, g.*  EXCLUDE (param),
+        CASE WHEN g.log_scale THEN (log10(l.value) - log10(g.lo)) / (log10(g.hi) - log10(g.lo)) ELSE (l.value - g.lo) / (g.hi - g.lo) END AS rel
+      FROM more l JOIN grid g USING (param)),
+e AS (SELECT *, (CASE WHEN continuous THEN rel < 0.1 ELSE value = lo END) AND NOT natural_lo AS low,
+                (CASE WHEN continuous THEN rel > 0.9 ELSE value = hi END) AND NOT natural_hi AS high FROM j)
+SELECT param, value, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, low OR high AS at_edge,
+       CASE WHEN low THEN 'low' WHEN high THEN 'high' END AS side FROM e""")
 def q_grid_edge_warnings(spark, sf_dir):
-    """Is the 1-SE choice at the edge of the declared grid? (l1 ∈ [0, 1] has natural limits)."""
+    """Is the 1-SE choice at the edge of the declared grid? (l1 ∈ [0, 1] has natural limits.) Beside it one value of a
+    listed axis next to its end, one at it, and two of a continuous log axis."""
     cv, _ = _cv(spark, sf_dir)
     s = _summary_with_complexity(cv)
     ch = SE.one_se(s, [F.col("C").asc(), F.col("l1").desc(), F.col("candidate").asc()]).select("C", "l1")
-    grid = spark.createDataFrame([("C", 0.001, 100.0, True, False, False), ("l1", 0.0, 1.0, False, True, True)],
-                                 "param string, lo double, hi double, log_scale boolean, natural_lo boolean, natural_hi boolean")
-    return SE.edge_warnings(ch, grid)
+    grid = spark.createDataFrame(
+        [("C", 0.001, 100.0, False, True, False, False), ("l1", 0.0, 1.0, False, False, True, True),
+         ("depth", 1.0, 20.0, False, False, False, False), ("leaves", 1.0, 20.0, False, False, False, False),
+         ("rate", 0.001, 1.0, True, True, False, False)],
+        "param string, lo double, hi double, continuous boolean, log_scale boolean, natural_lo boolean, natural_hi boolean")
+    listed = ch.select("*", F.lit(2.0).alias("depth"), F.lit(1.0).alias("leaves"), F.lit(0.0015).alias("rate"))
+    more = ch.limit(1).select(F.lit(0.01).alias("rate"))
+    return SE.edge_warnings(listed, grid).unionByName(SE.edge_warnings(more, grid))
 
 
 @query("paired_comparison", ops=("V10",), sql=_CV_SQL + """,

@@ -5,6 +5,7 @@ import json
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,8 @@ def read_or_compute(spark: SparkSession, path: str, compute) -> DataFrame:
     """Final registry: read the recorded result if it exists, otherwise compute it once and record it."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (path does not exist yet)
-        df = compute()
-        df.write.mode("errorifexists").parquet(path)
-        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    compute().write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
