@@ -127,7 +127,7 @@ def q_rejected_share(spark, sf_dir):
     return MO.rejected_share(lg, ["day"], limit=0.25)
 
 
-@query("volume_windows", ops=("L13", "ST4"), sql=LOG + """
+@query("volume_windows", ops=("L13",), sql=LOG + """
 , p AS (SELECT artifact, ts, request_id, score,
                row_number() OVER (PARTITION BY artifact ORDER BY ts, request_id) AS rn
         FROM inference_log WHERE score IS NOT NULL)
@@ -159,7 +159,7 @@ def q_volume_ratio(spark, sf_dir):
     return MO.volume_ratio(daily, "volume", ["artifact"], "day")
 
 
-@query("alert_hysteresis", ops=("L12", "ST5"), sql=LOG + """
+@query("alert_hysteresis", ops=("L12",), sql=LOG + """
 , m AS (SELECT route AS signal, date_trunc('day', ts) AS day, round(avg(CAST(status_code >= 400 AS DOUBLE)), 6) AS value
         FROM inference_log GROUP BY ALL),
   r AS (SELECT *, (min(CAST(value > 0.12 AS INTEGER)) OVER w3 = 1 AND count(*) OVER w3 = 2) AS run, value < 0.08 AS back
@@ -186,7 +186,7 @@ _OUT_SQL = LOG + """
   lots AS (SELECT *, CAST(date_trunc('week', ts) AS TIMESTAMP) AS lot FROM matched)"""
 
 
-@query("label_reconciliation", ops=("L15", "ST6"), sql=_OUT_SQL + f"""
+@query("label_reconciliation", ops=("L15",), sql=_OUT_SQL + f"""
 SELECT a.lot, b.n, a.ap, b.brier FROM {ap_sql('lots', ['lot'])} a
 JOIN (SELECT lot, count(*) AS n, round(avg(pow(score - y, 2)), 6) AS brier FROM lots GROUP BY lot) b USING (lot)""")
 def q_label_reconciliation(spark, sf_dir):

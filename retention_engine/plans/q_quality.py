@@ -68,7 +68,7 @@ def q_request_atomicity(spark, sf_dir):
     return QU.validate_requests(_validated(spark, sf_dir))
 
 
-@query("quarantine_split", ops=("P19", "ST1"), sql=DIRTY + """
+@query("quarantine_split", ops=("P19",), sql=DIRTY + """
 , bad AS (SELECT DISTINCT request_id FROM errs)
 SELECT CASE WHEN request_id IN (SELECT request_id FROM bad) THEN 'quarantine' ELSE 'accepted' END AS sink,
        count(*) AS n_rows, count(DISTINCT request_id) AS n_requests

@@ -3,6 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import r6
+from ..session import scratch_path
+from ..sources.tables import load
 from ..streaming import service as ST
 from .registry import query
 from .sql import ctes
@@ -22,9 +25,75 @@ def q_stream_service_panel(spark, sf_dir):
 
 
 @query("stream_dedup", ops=("ST2",), sql=ctes("inference_log") + """
-SELECT count(*) AS rows, count(DISTINCT request_id) AS distinct_requests FROM inference_log""")
+SELECT 2 * count(*) AS rows_in, count(*) AS rows_out, count(DISTINCT request_id) AS distinct_requests FROM inference_log""")
 def q_stream_dedup(spark, sf_dir):
-    """Request-id de-duplication within the watermark: every id kept exactly once."""
+    """Request-id de-duplication within the watermark: every record comes twice, every id is kept once."""
+    twice = ST.as_log(ST.event_stream(spark, sf_dir)).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    n = 2 * load(spark, sf_dir, "events").count()
+    out = ST.run_available_now(ST.dedup_stream(twice).select("request_id"), "dedup")
+    return out.agg(F.lit(n).cast("long").alias("rows_in"), F.count(F.lit(1)).alias("rows_out"),
+                   F.count_distinct("request_id").alias("distinct_requests"))
+
+
+@query("stream_volume_windows", ops=("ST4",), sql=ctes("inference_log") + """
+, p AS (SELECT artifact, score, row_number() OVER (PARTITION BY artifact ORDER BY ts, request_id) AS rn
+        FROM inference_log WHERE score IS NOT NULL)
+SELECT artifact, CAST(floor((rn - 1) / 400) AS BIGINT) AS window_no, count(*) AS n, round(avg(score), 6) AS mean_score
+FROM p GROUP BY ALL HAVING count(*) = 400""")
+def q_stream_volume_windows(spark, sf_dir):
+    """Closed windows of 400 predictions per artefact, kept in state; the rows arrive in no order of time."""
+    log = ST.as_log(ST.event_stream(spark, sf_dir)).repartition(8, F.md5(F.col("request_id").cast("string")))
+    return ST.run_available_now(ST.volume_windows_stream(log), "volume")
+
+
+@query("stream_alerts", ops=("ST5",), sql=ctes("inference_log") + """
+, m AS (SELECT route AS signal, date_trunc('day', ts) AS day, round(avg(CAST(status_code >= 400 AS DOUBLE)), 6) AS value
+        FROM inference_log GROUP BY ALL),
+  r AS (SELECT *, (min(CAST(value > 0.12 AS INTEGER)) OVER w2 = 1 AND count(*) OVER w2 = 2) AS run, value < 0.08 AS back
+        FROM m WINDOW w2 AS (PARTITION BY signal ORDER BY day ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)),
+  e AS (SELECT *, CASE WHEN run THEN 1 WHEN back THEN 0 END AS ev FROM r)
+SELECT signal, CAST(day AS TIMESTAMP) AS window_start, value,
+       coalesce(last_value(ev IGNORE NULLS) OVER (PARTITION BY signal ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) = 1 AS alert
+FROM e""")
+def q_stream_alerts(spark, sf_dir):
+    """Daily error-rate alerts per route by the streaming state machine, over the stream of written daily metrics."""
+    daily = ST.as_log(load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))).groupBy(
+        F.col("route").alias("signal"), F.date_trunc("day", "ts").alias("window_start")).agg(
+        r6(F.avg((F.col("status_code") >= 400).cast("double"))).alias("value"))
+    path = scratch_path(spark, "daily-metrics")
+    daily.write.parquet(path)
+    stream = spark.readStream.schema(daily.schema).parquet(path)
+    out = ST.run_available_now(ST.alert_stream(stream, 0.12, 0.08, 2), "alerts")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("stream_late_outcomes", ops=("ST6",), sql=ctes("inference_log") + """
+, o AS (SELECT request_id, ts + to_days(CAST(request_id % 90 AS INTEGER)) AS outcome_ts FROM inference_log
+        WHERE score IS NOT NULL AND request_id % 3 <> 0)
+SELECT p.request_id, round(p.score, 6) AS score, date_diff('day', p.ts, o.outcome_ts) AS delay_days
+FROM inference_log p JOIN o USING (request_id) WHERE p.score IS NOT NULL""")
+def q_stream_late_outcomes(spark, sf_dir):
+    """Predictions joined with their late outcomes, both as streams, bounded in time by the label delay."""
+    log = ST.as_log(ST.event_stream(spark, sf_dir)).where("score IS NOT NULL").select("request_id", "ts", "score")
+    late = ST.as_log(load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))).where(
+        "score IS NOT NULL AND request_id % 3 <> 0").select(
+        F.col("request_id").alias("o_request_id"), (F.col("ts") + F.expr("make_interval(0, 0, 0, request_id % 90)")).alias("outcome_ts"))
+    path = scratch_path(spark, "outcomes")
+    late.write.parquet(path)
+    out = ST.run_available_now(ST.late_outcome_join(log, spark.readStream.schema(late.schema).parquet(path)), "late")
+    return out.select("request_id", "score", F.datediff("outcome_ts", "ts").cast("long").alias("delay_days"))
+
+
+@query("stream_validated_log", ops=("ST1",), sql=ctes("inference_log") + """
+SELECT request_id, artifact, CASE WHEN status_code = 200 AND (score IS NULL OR score < 0 OR score > 1 OR latency_ms IS NULL) THEN 'quarantine'
+       WHEN status_code = 200 THEN 'accepted' ELSE 'rejected' END AS sink,
+       CASE WHEN status_code = 200 THEN coalesce(score >= 0.5, false) END AS decision FROM inference_log""")
+def q_stream_validated_log(spark, sf_dir):
+    """Each record validated, routed and decided as it streams by (a projection: no state)."""
     log = ST.as_log(ST.event_stream(spark, sf_dir))
-    out = ST.run_available_now(ST.dedup_stream(log).select("request_id"), "dedup")
-    return out.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("request_id").alias("distinct_requests"))
+    ok = F.col("status_code") == 200
+    bad = F.col("score").isNull() | (F.col("score") < 0) | (F.col("score") > 1) | F.col("latency_ms").isNull()
+    routed = log.select("request_id", "artifact",
+                        F.when(ok & bad, "quarantine").when(ok, "accepted").otherwise("rejected").alias("sink"),
+                        F.when(ok, F.coalesce(F.col("score") >= 0.5, F.lit(False))).alias("decision"))
+    return ST.run_available_now(routed, "routed")

@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import quality as QU
 from ..session import scratch_path
+from ..sources.tables import table_path
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -25,12 +26,23 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The events table read as a stream (file source); ``ts`` cast to TIMESTAMP for watermarks."""
-    # the file source watches a folder; the glob keeps it to the events table's file(s)
-    s = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max_files)
-         .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """A table read as a stream by the file source, whether it is one Parquet file or a folder of them. ``max_files`` per
+    trigger; without it one trigger takes all that is there (files need not be in the order of time)."""
+    path = table_path(sf_dir, name)
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at).isDirectory():
+        return r.parquet(path)
+    # the file source watches a folder; the glob keeps it to the table's one file
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The events table read as a stream; ``ts`` cast to TIMESTAMP for watermarks."""
+    return table_stream(spark, sf_dir, "events", EVENT_SCHEMA, max_files).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def as_log(events: DataFrame) -> DataFrame:
@@ -47,16 +59,20 @@ def as_log(events: DataFrame) -> DataFrame:
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Run a streaming frame to completion over what is available into a memory table; return it."""
+    """Run a streaming frame to completion over what is available; return its output.
+
+    Appended rows go to a Parquet table in the shared folder, whatever their number. Only the ``complete`` mode, which
+    the file sink does not take, uses a memory table: it is for small aggregates.
+    """
     spark = df.sparkSession
-    qn = f"{name}_{uuid.uuid4().hex[:8]}"
-    q = (df.writeStream.format("memory").queryName(qn).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}"))
-         .trigger(availableNow=True).start())
+    w = (df.writeStream.outputMode(output_mode).trigger(availableNow=True)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}")))
+    qn, path = f"{name}_{uuid.uuid4().hex[:8]}", scratch_path(spark, f"sink-{name}")
+    q = w.format("memory").queryName(qn).start() if output_mode == "complete" else w.format("parquet").start(path)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.table(qn)
+    return spark.table(qn) if output_mode == "complete" else spark.read.schema(df.schema).parquet(path)
 
 
 def service_panel_stream(log: DataFrame, window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
@@ -107,22 +123,27 @@ VOLUME_STATE = T.StructType([T.StructField("count", T.LongType()), T.StructField
 def _volume_fn(size: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         cnt, sm, wno = state.get if state.exists else (0, 0.0, 0)
-        out = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "request_id"])
-            for s in pdf["score"].to_numpy():
-                cnt += 1
-                sm += float(s)
-                if cnt == size:
-                    out.append((key[0], wno, cnt, round(sm / cnt, 6)))
-                    cnt, sm, wno = 0, 0.0, wno + 1
-        state.update((cnt, sm, wno))
+        # All rows of the trigger in one order, however they came in Arrow batches.
+        rows = pd.concat(list(pdfs)).sort_values(["ts", "request_id"], kind="stable")
+        score = rows["score"].to_numpy(dtype=float)
+        # The first cut closes the window that the state holds open.
+        cuts = list(range(size - cnt, len(score) + 1, size))
+        out, at = [], 0
+        for c in cuts:
+            sm += float(score[at:c].sum())
+            out.append((key[0], wno, size, round(sm / size, 6)))
+            sm, wno, cnt, at = 0.0, wno + 1, 0, c
+        state.update((cnt + len(score) - at, sm + float(score[at:].sum()), wno))
         yield pd.DataFrame(out, columns=["artifact", "window_no", "n", "mean_score"])
     return fn
 
 
 def volume_windows_stream(log: DataFrame, size: int = 400) -> DataFrame:
-    """ST4: count-based windows per artefact kept in state (count, running sum, window number)."""
+    """ST4: count-based windows per artefact kept in state (count, running sum, window number).
+
+    Rows of one trigger are ordered by time, then id; rows of a later trigger come after them whatever their time (a
+    closed window is never opened again). A trigger's rows of one artefact are held by one task: bound them with
+    ``max_files`` of the stream."""
     p = log.where(F.col("score").isNotNull()).select("artifact", "ts", "request_id", "score")
     return p.groupBy("artifact").applyInPandasWithState(
         _volume_fn(size), VOLUME_OUT, VOLUME_STATE, "append", GroupStateTimeout.NoTimeout)
@@ -137,14 +158,13 @@ def _alert_fn(trigger: float, disarm: float, k: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         run, on = state.get if state.exists else (0, False)
         out = []
-        for pdf in pdfs:
-            for ws, v in pdf.sort_values("window_start")[["window_start", "value"]].itertuples(index=False):
-                run = run + 1 if v > trigger else 0
-                if run >= k:
-                    on = True
-                elif v < disarm:
-                    on = False
-                out.append((key[0], ws, float(v), bool(on)))
+        for ws, v in pd.concat(list(pdfs)).sort_values("window_start")[["window_start", "value"]].itertuples(index=False):
+            run = run + 1 if v > trigger else 0
+            if run >= k:
+                on = True
+            elif v < disarm:
+                on = False
+            out.append((key[0], ws, float(v), bool(on)))
         state.update((run, on))
         yield pd.DataFrame(out, columns=["signal", "window_start", "value", "alert"])
     return fn

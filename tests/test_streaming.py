@@ -81,3 +81,34 @@ def test_validate_and_route_micro_batch(spark):
     ok, bad = QU.split_accepted(v, QU.validate_requests(v))
     assert spark.read.parquet(acc).count() == ok.count()
     assert spark.read.parquet(qua).count() == bad.count()
+
+
+def test_folder_table_streams_like_a_file(spark, tmp_path):
+    ev = spark.read.parquet(os.path.join(SF, "events.parquet"))
+    ev.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for files in (None, 1):
+        s = ST.run_available_now(ST.as_log(ST.event_stream(spark, str(tmp_path), files)).select("request_id"), "t_folder")
+        assert s.count() == ev.count() > 0
+
+
+def test_volume_windows_in_any_order_of_arrival(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        log = ST.as_log(ST.event_stream(spark, SF)).repartition(5, F.md5(F.col("request_id").cast("string")))
+        s = ST.run_available_now(ST.volume_windows_stream(log, size=50), "t_order")
+        b = MO.volume_windows(adapters.inference_log(spark, SF), size=50)
+        cols = ("artifact", "window_no", "n", "mean_score")
+        assert sorted(tuple(r[c] for c in cols) for r in s.collect()) == sorted(tuple(r[c] for c in cols) for r in b.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_volume_windows_over_several_triggers(spark, tmp_path):
+    ev = spark.read.parquet(os.path.join(SF, "events.parquet"))
+    for i, part in enumerate(("event_id < 300", "event_id >= 300")):
+        ev.where(part).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    s = ST.run_available_now(ST.volume_windows_stream(ST.as_log(ST.event_stream(spark, str(tmp_path), 1)), size=50), "t_triggers")
+    n = ST.as_log(ev.withColumn("ts", F.col("ts").cast("timestamp"))).where("score IS NOT NULL").groupBy("artifact").count().collect()
+    got = {r["artifact"]: r["k"] for r in s.groupBy("artifact").agg(F.count("*").alias("k")).collect()}
+    assert got == {r["artifact"]: r["count"] // 50 for r in n} and s.where("n <> 50").count() == 0
