@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import QUANTILE_LEVELS, digitize, psi_class, psi_term, r6
 from ..session import materialize
 from .quantiles import exact_quantiles
-from .ranking import with_row
+from .ranking import checked_broadcast, with_row
 
 N_BINS = 10
 Q_NAMES = tuple(f"p{int(round(q * 100)):02d}" for q in QUANTILE_LEVELS)
@@ -58,6 +58,7 @@ def numeric_baseline(df: DataFrame, features: Sequence[str], n_bins: int = N_BIN
 
 def bin_proportions(long: DataFrame, edges: DataFrame, round_props: bool = True) -> DataFrame:
     """(feature, bin, prop) for every bin 0..len(edges) including empty ones; empty sample → zeros."""
+    edges = checked_broadcast(edges, "edges")      # one row per feature: a long feature does not meet in one task
     d = long.where(F.col("value").isNotNull()).join(edges, "feature")
     counts = d.groupBy("feature", digitize("value", F.col("edges")).alias("bin")).agg(F.count(F.lit(1)).alias("c"))
     skel = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges"))).alias("bin"))

@@ -40,6 +40,25 @@ def q_metrics_by_segment(spark, sf_dir):
     return M.evaluate(snapshot(spark, sf_dir), by=["segment"])
 
 
+# Scores closer to each other than a millionth, in groups of which one is null.
+_CLOSE = SNAP + """, close AS (SELECT customer_id, last_priority, y_signal, 0.5 + score * 1e-7 AS score FROM snapshot)
+"""
+
+
+@query("ranking_close_scores", ops=("M1", "M2", "M7", "M8", "M9"), sql=_CLOSE + f"""
+SELECT ap.last_priority, ap.ap, auc.roc_auc, r.k, r.recall_at_k FROM {ap_sql('close', ['last_priority'], y='y_signal')} ap
+JOIN {auc_sql('close', ['last_priority'], y='y_signal')} auc ON auc.last_priority IS NOT DISTINCT FROM ap.last_priority
+JOIN {recall_k_sql('close', ['last_priority'], y='y_signal')} r ON r.last_priority IS NOT DISTINCT FROM ap.last_priority""")
+def q_ranking_close_scores(spark, sf_dir):
+    """AP, ROC-AUC and recall@k of raw scores that differ by less than a millionth, by last priority (null is a group)."""
+    d = snapshot(spark, sf_dir).select("customer_id", "last_priority", "y_signal", (F.lit(0.5) + F.col("score") * 1e-7).alias("score"))
+    by = ["last_priority"]
+    gs = lambda df: df.withColumn("_g2", F.struct("last_priority"))
+    ap, auc = M.average_precision(d, label="y_signal", by=by), M.roc_auc(d, label="y_signal", by=by)
+    rk = M.recall_at_k(d, label="y_signal", by=by).select("last_priority", "k", "recall_at_k")
+    return gs(ap).join(gs(auc).drop("last_priority"), "_g2").join(gs(rk).drop("last_priority"), "_g2").drop("_g2")
+
+
 @query("average_precision", ops=("M1",),
        sql=SNAP + "SELECT * FROM " + ap_sql("snapshot", ["region"], y="y_signal") + " x")
 def q_average_precision(spark, sf_dir):

@@ -16,6 +16,7 @@ from ..session import materialize
 from .common import snapshot
 from .q_split import _SPLIT
 from .registry import query
+from .sql import ctes
 from .sqlmetrics import ap_sql, cost_curve_sql, point_sql, recall_k_sql
 
 N_CAND = 12
@@ -28,7 +29,8 @@ def _cand_score(c):
 
 
 def _with_candidates(df):
-    d = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(N_CAND - 1))).alias("candidate"))
+    used = [c for c in df.columns if c in ("customer_id", "y_signal", "recency_days", "rep", "fold")]
+    d = df.select(*used, F.explode(F.sequence(F.lit(0), F.lit(N_CAND - 1))).alias("candidate"))
     d = d.withColumn("candidate", F.col("candidate").cast("long")).withColumn("score", _cand_score(F.col("candidate")))
     return d.withColumn("C", F.pow(F.lit(10.0), (F.col("candidate") % 6) - 3)) \
             .withColumn("l1", (F.floor(F.col("candidate") / 6)).cast("double"))
@@ -180,22 +182,22 @@ fin AS (SELECT a.candidate, a.ap, p.brier, o.own_threshold, o.own_cost, r.recall
         JOIN opt o USING (candidate) JOIN (SELECT * FROM """ + recall_k_sql("va", ["candidate"], ks=(0.1,)) + """ x) r USING (candidate))"""
 
 
-def _finalists(spark, sf_dir):
-    cv, sp = _cv(spark, sf_dir)
+def _finalists(spark, sf_dir, sp=None):
+    """Every candidate on the validation split; ``sp`` is the split when a caller has made it already."""
+    sp = stratified_split(snapshot(spark, sf_dir)) if sp is None else sp
     va = _with_candidates(sp.where(F.col("split") == "val")).withColumn("y", F.col("y_signal"))
     ap = M.average_precision(va, by=["candidate"])
     pm = M.point_metrics(va, by=["candidate"]).select("candidate", "brier")
     opt = M.cost_optimum(M.cost_curve(va, by=["candidate"]), by=["candidate"]).select(
         "candidate", F.col("best_threshold").alias("own_threshold"), F.col("best_cost").alias("own_cost"))
     rk = M.recall_at_k(va, ks=(0.1,), by=["candidate"]).select("candidate", F.col("recall_at_k").alias("recall_at_10"))
-    return ap.join(pm, "candidate").join(opt, "candidate").join(rk, "candidate"), cv
+    return ap.join(pm, "candidate").join(opt, "candidate").join(rk, "candidate")
 
 
 @query("finalists_validation", ops=("V17", "M12", "M11"), sql=_VAL_SQL + "\nSELECT * FROM fin")
 def q_finalists_validation(spark, sf_dir):
     """Every candidate on the validation split: AP, Brier, own cost-optimal threshold and cost, recall@10%."""
-    fin, _ = _finalists(spark, sf_dir)
-    return fin
+    return _finalists(spark, sf_dir)
 
 
 @query("selection_bias", ops=("V15",), sql=_VAL_SQL + """,
@@ -207,7 +209,8 @@ SELECT c.candidate AS chosen, t1.drop_val_minus_cv AS chosen_drop, t0.drop_val_m
 FROM ch c JOIN t t1 ON t1.candidate = c.candidate, (SELECT * FROM t WHERE candidate = 0) t0""")
 def q_selection_bias(spark, sf_dir):
     """(validation − CV) of the 1-SE choice minus the same drop for the untuned control."""
-    fin, cv = _finalists(spark, sf_dir)
+    cv, sp = _cv(spark, sf_dir)
+    fin = _finalists(spark, sf_dir, sp)
     s = _summary_with_complexity(cv)
     ch = SE.one_se(s, [F.col("C").asc(), F.col("l1").desc(), F.col("candidate").asc()]).select("candidate")
     t = s.join(fin, "candidate").select("candidate", r6(F.col("ap") - F.col("mean")).alias("drop"))
@@ -224,23 +227,30 @@ SELECT candidate, ap, brier, ap >= 0.66 AND brier <= 0.14 AS approved,
             WHEN ap < 0.66 THEN 'ap below floor' ELSE 'brier above ceiling' END AS reason FROM fin""")
 def q_promotion_gate(spark, sf_dir):
     """Two-axis gate (AP ≥ 0.66 and Brier ≤ 0.14) for every finalist, with the failing axis named."""
-    fin, _ = _finalists(spark, sf_dir)
+    fin = _finalists(spark, sf_dir)
     return SE.gate(fin.select("candidate", "ap", "brier"))
 
 
-@query("score_identity", ops=("G6",), sql="""
-WITH a AS (SELECT o_custkey AS customer_id, max(CAST(o_orderdate AS DATE)) AS last_d FROM orders
-           WHERE o_orderdate < TIMESTAMP '1999-07-01 00:00:00' GROUP BY o_custkey)
-SELECT count(*) AS rows, 0.0::DOUBLE AS max_abs_diff, CAST(0 AS BIGINT) AS decisions_swapped, CAST(0 AS BIGINT) AS unmatched,
-       true AS identical FROM a""")
+@query("score_identity", ops=("G6",), sql=ctes("snapshot") + """
+, b AS (SELECT o_custkey AS customer_id,
+               round(date_diff('day', max(CAST(o_orderdate AS DATE)), DATE '1999-07-01')
+                     / (date_diff('day', max(CAST(o_orderdate AS DATE)), DATE '1999-07-01') + 240.0), 6) AS score
+        FROM orders WHERE o_orderdate < TIMESTAMP '1999-07-01 00:00:00' GROUP BY o_custkey),
+  j AS (SELECT a.score AS s1, b.score AS s2 FROM (SELECT customer_id, score FROM snapshot) a FULL JOIN b USING (customer_id)),
+  t AS (SELECT count(*) AS rows, max(abs(s1 - s2)) AS max_abs_diff,
+               count(*) FILTER (WHERE (s1 >= 0.29) <> (s2 >= 0.29)) AS decisions_swapped,
+               count(*) FILTER (WHERE s1 IS NULL OR s2 IS NULL) AS unmatched FROM j)
+SELECT rows, round(CAST(max_abs_diff AS DOUBLE), 9) AS max_abs_diff, decisions_swapped, unmatched,
+       max_abs_diff <= 1e-9 AND decisions_swapped = 0 AND unmatched = 0 AS identical FROM t""")
 def q_score_identity(spark, sf_dir):
     """Scores of the snapshot path vs an independent recomputation from raw orders: identical values
-    and no swapped decisions (joined on customer id, never on score)."""
+    and no swapped decisions (joined on customer id, never on score). Customers without orders have a score in the
+    snapshot alone and count as unmatched."""
     from ..sources.tables import load
-    s = snapshot(spark, sf_dir).where(F.col("recency_days").isNotNull()).select("customer_id", "score")
+    s = snapshot(spark, sf_dir).select("customer_id", "score")
     o = load(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit("1999-07-01").cast("timestamp_ntz"))
     last = o.groupBy(F.col("o_custkey").alias("customer_id")).agg(F.max(F.to_date("o_orderdate")).alias("last_d"))
     rec = F.datediff(F.to_date(F.lit("1999-07-01")), F.col("last_d"))
     b = last.select("customer_id", F.round(rec / (rec + 240.0), 6).alias("score"))
     out = SE.identity_check(s, b, "customer_id", threshold=0.29)
-    return out.withColumn("max_abs_diff", F.col("max_abs_diff").cast("double"))
+    return out.withColumn("max_abs_diff", F.round(F.col("max_abs_diff").cast("double"), 9))
