@@ -8,15 +8,16 @@ sets, so no pair is lost).
 
 Equal sets are collapsed first. Sets that share a prefix n-gram are candidates if
   length      the smaller has at least t times the larger's size,
-  position    the overlap still possible behind the shared n-gram is enough,
+  position    the n-grams shared by the prefixes and all that lies behind a prefix would be enough,
   suffix      the overlap left when both sets are cut at the same hashes (the sum of the smaller parts) is enough.
 Each pair is verified once, on the whole sets: the overlap is counted, and 100 * overlap >= 100t * union decides.
 
-Groups of near copies are not joined with themselves. First, each set is verified against one partner: of the leaders
-of its prefix n-grams (the smallest set that holds one, by hash) the most frequent. The links found are contracted to
-components. Only then are the remaining pairs formed, of sets that share a prefix n-gram but not a component, one end
-at least outside the n-gram's largest component. A pair that is skipped has both ends in one component already, so
-the components are those of all links.
+Groups of near copies are not joined with themselves. First, in ``ROUNDS`` rounds, each set is verified against one
+partner: of the leaders of its prefix n-grams the most frequent that passes. A leader is one set for each n-gram, in
+the first round the one with the largest part of its prefix shared (what near copies were copied from), later one
+by hash. The links found are contracted to components, and n-grams with sets of one component only are done with.
+Only then are the remaining pairs formed, of sets that share a prefix n-gram but not a component, and verified. A
+pair that is skipped has both ends in one component already, so the components are those of all links.
 
 A set is known by a 64-bit hash of its hashes; equal sets are one node (a task sends the prefix of a set once).
 
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -42,6 +43,7 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 64
 #: Texts to verify whose ids are broadcast to pick them out; more are picked by a shuffled join.
 BROADCAST_IDS = 1_000_000
+ROUNDS = 2
 
 
 def sets_of(col: pa.Array, ngram: int) -> Iterator[np.ndarray]:
@@ -123,7 +125,7 @@ def prefix_of(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(rank: np.ndarray, ngram: int, percent: int):
-    """(gram, node, size, place) for the prefix of every set; a task sends equal sets once."""
+    """(gram, node, size) for the prefix of every set; a task sends equal sets once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
@@ -135,10 +137,9 @@ def _prefixes(rank: np.ndarray, ngram: int, percent: int):
                     nodes.append(node)
                     sizes.append(len(s))
             n = np.array([len(g) for g in grams[1:]], np.int64)
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), n)),
-                 pa.array(np.repeat(np.array(sizes, np.int32), n)), pa.array(place.astype(np.int32))], ["gram", "node", "size", "place"])
+                 pa.array(np.repeat(np.array(sizes, np.int32), n))], ["gram", "node", "size"])
     return run
 
 
@@ -172,7 +173,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, ngram: int, perc
 
     pairs = materialize(pairs, f"{name}-pairs")
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    needed = materialize(needed.join(reps, "node"), f"{name}-needed")
+    needed = materialize(needed.join(reps.select("node", "rep"), "node"), f"{name}-needed")
     ids = needed.select("node", F.col("rep").alias("doc_id"))
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -182,6 +183,49 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, ngram: int, perc
     return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(decide, "a long, b long")
 
 
+def _lengths(s: Column, t: Column, percent: int) -> Column:
+    return F.least(s, t) * 100 >= F.greatest(s, t) * percent
+
+
+def _possible(size: str, other: str, shared: str, percent: int) -> Column:
+    """Length and positional filter on a pair whose prefixes share so many n-grams.
+
+    Let x be the set whose prefix ends earlier in the total order. Shared n-grams up to there are in both prefixes;
+    all others lie behind the prefix of x, where it has ceil(t |x|) - 1 n-grams.
+    """
+    s, t = F.col(size), F.col(other)
+    need = F.ceil(percent * (s + t) / F.lit(100 + percent))
+    behind = F.ceil(percent * F.greatest(s, t) / F.lit(100)) - 1
+    return _lengths(s, t, percent) & (F.col(shared) + behind >= need)
+
+
+def _mixed(shared: DataFrame, every: DataFrame) -> DataFrame:
+    """Entries (gram, node, size, c, main) of the n-grams that sets of several components hold; ``main``: the largest."""
+    placed = shared.join(every, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    placed = materialize(placed, "jaccard-placed")
+    main = placed.groupBy("gram", "c").count().groupBy("gram").agg(
+        F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return materialize(placed.join(main, "gram"), "jaccard-mixed")
+
+
+def _partners(mixed: DataFrame, turn: int, percent: int, done: DataFrame | None) -> DataFrame:
+    """One pair (a, b) for each node, with the leader of another component that it shares most n-grams with."""
+    if turn == 0:
+        part = mixed.groupBy("node", "size").agg((F.count("*") / F.col("size")).alias("w")).select("node", "w")
+        ranked = mixed.join(part, "node")
+    else:
+        ranked = mixed.withColumn("w", F.xxhash64("node", F.lit(turn)))
+    leader = ranked.groupBy("gram").agg(F.max(F.struct("w", "node", "c", "size")).alias("l")).select(
+        "gram", F.col("l.node").alias("leader"), F.col("l.c").alias("lc"), F.col("l.size").alias("other"))
+    found = mixed.join(leader, "gram").where("c <> lc").groupBy("node", "size", "leader", "other").count()
+    found = found.where(_possible("size", "other", "count", percent)).select(
+        "node", "leader", "count", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    if done is not None:
+        found = found.join(done, ["a", "b"], "left_anti")
+    best = found.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("count", "leader")).alias("p"))
+    return best.select("p.a", "p.b").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
                     percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; sets link at ``percent`` hundredths of Jaccard similarity."""
@@ -189,37 +233,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     read = materialize(rows.mapInArrow(_read(ngram), "doc_id long, n_shingles long, node long, part int, counts binary"), "jaccard-read")
     narrow = read.where("part IS NULL").select("doc_id", "n_shingles", "node")
-    reps = narrow.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    reps = materialize(narrow.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.max("n_shingles").cast("int").alias("size")), "jaccard-nodes")
     rank = _frequencies(read)
     prefix = materialize(rows.where("doc_id IS NOT NULL").select("text").mapInArrow(
-        _prefixes(rank, ngram, percent), "gram long, node long, size int, place int"), "jaccard-prefixes")
-    shared = prefix.groupBy("gram").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other")
-    shared = materialize(prefix.join(shared.select("gram", "leader"), "gram").distinct(), "jaccard-shared")
-
-    # First each node against its most frequent leader.
-    stars = shared.where("node <> leader").groupBy("node", "leader").count().groupBy("node").agg(
-        F.max_by("leader", F.struct("count", "leader")).alias("leader"))
-    stars = stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    links = materialize(_verify(stars, rows, reps, ngram, percent, "stars"), "jaccard-links")
-    first = components(links, "a", "b", "jaccard-first")
-
-    # Then the pairs that share an n-gram and no component yet.
-    placed = shared.drop("leader").join(first.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
-    placed = materialize(placed, "jaccard-placed")
-    by_comp = placed.groupBy("gram", "c").count()
-    main = by_comp.groupBy("gram").agg(F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("n")).where("n > 1")
-    mixed = placed.join(main.select("gram", "main"), "gram")
+        _prefixes(rank, ngram, percent), "gram long, node long, size int"), "jaccard-prefixes")
+    often = prefix.groupBy("gram").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("gram")
+    shared = materialize(prefix.join(often, "gram").distinct(), "jaccard-shared")
+
+    links = pairs = None
+    every = docs.sparkSession.createDataFrame([], "node long, component long")
+    for turn in range(ROUNDS):
+        mixed = _mixed(shared, every)
+        new = materialize(_partners(mixed, turn, percent, pairs), f"jaccard-pairs-{turn}")
+        if new.isEmpty():
+            break
+        found = materialize(_verify(new, rows, reps, ngram, percent, f"turn-{turn}"), f"jaccard-links-{turn}")
+        links = found if links is None else links.unionByName(found)
+        pairs = new if pairs is None else pairs.unionByName(new)
+        every = components(links, "a", "b", "jaccard")
+
+    # Then all pairs that share an n-gram and no component, each once for every n-gram that both prefixes hold.
+    mixed = _mixed(shared, every)
     x, y = mixed.where("c <> main").alias("x"), mixed.alias("y")
-    s, t = F.col("x.size"), F.col("y.size")
-    need = F.ceil(percent * (s + t) / F.lit(100 + percent))
-    # The first shared n-gram of a similar pair has enough of both sets at and behind it; other rows may say less.
-    possible = ((F.least(s, t) * 100 >= F.greatest(s, t) * percent)
-                & (F.least(s - F.col("x.place"), t - F.col("y.place")) >= need))
-    rest = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") != F.col("y.c")) & possible).select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    rest = rest.join(stars.withColumn("done", F.lit(True)), ["a", "b"], "left_anti")
+    once = (F.col("y.c") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    rest = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") != F.col("y.c")) & once
+                  & _lengths(F.col("x.size"), F.col("y.size"), percent)).select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
+        F.least("x.size", "y.size").alias("s"), F.greatest("x.size", "y.size").alias("t"))
+    rest = rest.groupBy("a", "b", "s", "t").count().where(_possible("s", "t", "count", percent)).select("a", "b")
+    if pairs is not None:
+        rest = rest.join(pairs, ["a", "b"], "left_anti")
     more = _verify(rest, rows, reps, ngram, percent, "rest")
-    every = components(links.unionByName(more), "a", "b", "jaccard-all")
+    every = components(more if links is None else links.unionByName(more), "a", "b", "jaccard-all")
 
     # A component's name is its smallest id; a node that links with nothing has its copies.
     named = reps.join(every, "node", "left").withColumn("component", F.coalesce("component", "node"))
