@@ -10,6 +10,7 @@ from ..operators import selection as SE
 from ..operators.split import holdout_split, repeated_folds, stratified_split
 from ..session import scratch_path
 from .common import snapshot
+from .q_split import _SPLIT as SPLIT_SQL
 from .registry import query
 
 ZERO = ["total_charges"]
@@ -164,6 +165,35 @@ def q_unawareness_audit(spark, sf_dir):
     return out[0].unionByName(out[1])
 
 
+_SENSITIVE = ("region", "segment", "balance_sign")
+
+
+@query("sensitive_attributes_kept", ops=("Q8",), sql=SPLIT_SQL + " UNION ALL ".join(
+    f"SELECT '{a}' AS attribute, count(DISTINCT {a}) AS n_outputs, true AS kept FROM sp WHERE split = 'train'" for a in _SENSITIVE))
+def q_sensitive_attributes_kept(spark, sf_dir):
+    """Every sensitive attribute is among the model's inputs, with one output for each of its levels: without it the
+    audit by that attribute could not be answered for."""
+    tr, _ = _split(spark, sf_dir)
+    names = MD.fit_pipeline(tr, "prior", ZERO, NUMS, CATS, label=LABEL).stages[-3].feature_names()
+    rows = [(a, sum(n.startswith(f"{a}=") for n in names)) for a in _SENSITIVE]
+    return spark.createDataFrame([(a, n, n > 0) for a, n in rows], "attribute string, n_outputs long, kept boolean")
+
+
+@query("effect_decomposition", ops=("V16",))
+def q_effect_decomposition(spark, sf_dir):
+    """What a network without hidden layers loses against LR: the part of the smaller data budget (LR on the stratified
+    85 %) and the part of the optimiser (the network on the same 85 %), which add up to the whole."""
+    tr, va = _split(spark, sf_dir)
+    budget = holdout_split(tr, 0.15, LABEL).where("part = 'fit'").drop("part")
+    lr = MD.fit_pipeline(tr, "lr", ZERO, NUMS, CATS, label=LABEL)
+    d = len(lr.stages[-3].feature_names())
+    models = (lr, MD.fit_pipeline(budget, "lr", ZERO, NUMS, CATS, label=LABEL),
+              MD.fit_pipeline(budget, "mlp", ZERO, NUMS, CATS, label=LABEL, layers=[d, 2]))
+    full, small, net = (MD.validation_metrics(m, va, LABEL).first()["ap"] for m in models)
+    rows = [("data budget", full - small), ("optimiser", small - net), ("total", full - net)]
+    return spark.createDataFrame(rows, "effect string, delta double").withColumn("delta", r6("delta"))
+
+
 @query("l1_selection", ops=("F15", "F16"))
 def q_l1_selection(spark, sf_dir):
     """L1 logistic regression as selector (|β| > 1e-5 kept); an original column is dead only if all
