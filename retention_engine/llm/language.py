@@ -1,8 +1,8 @@
 """Language identification by Bayesian fusion of text, declared markup, address suffix and host evidence.
 
 Text: a naive Bayes model over byte trigrams (hashed to ``CELLS`` cells), fitted on a bounded sample of rows with a
-declared language (``SAMPLE_BYTES`` per language, rows in the order of a hash of their id), applied to every trigram
-of every text. Trigrams of one text are not independent, so its log-likelihood is tempered to at most
+declared language (about ``SAMPLE_ROWS`` rows a language, drawn by a hash of their id, at most ``SAMPLE_BYTES`` of
+each language in a task), applied to every trigram of every text. Trigrams of one text are not independent, so its log-likelihood is tempered to at most
 ``EVIDENCE_TRIGRAMS`` of them. A class for noise (all bytes alike) stands beside the languages.
 
 Everything else is counted over all rows by grouped aggregation: the text posteriors, summed by declared language, by
@@ -42,7 +42,7 @@ MOST_LANGUAGES = 200
 SHARES, FIT_TASKS = 1 << 30, 16
 #: Hosts whose sums are broadcast; more are joined by a shuffle that Spark can split.
 BROADCAST_HOSTS = 100_000
-#: Prior weight of noise, and how much likelier than a language it must make a text's trigrams to matter.
+#: Prior weight of the noise class against each language's 1.
 NOISE_PRIOR = 0.01
 
 _LOWER = np.arange(256, dtype=np.uint32)
