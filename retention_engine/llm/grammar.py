@@ -44,7 +44,7 @@ ROUNDS = 6
 HEADER = struct.Struct("<6I")
 
 
-def _choose(keys: np.ndarray, counts: np.ndarray, most: int, least: int) -> np.ndarray:
+def _choose(keys: np.ndarray, counts: np.ndarray, bits: int, most: int, least: int) -> np.ndarray:
     """The most frequent pairs such that no symbol is first in one and second in another."""
     frequent = np.flatnonzero(counts >= least)
     order = frequent[np.argsort(-counts[frequent], kind="stable")][:4 * most]
@@ -52,14 +52,14 @@ def _choose(keys: np.ndarray, counts: np.ndarray, most: int, least: int) -> np.n
     seconds: set[int] = set()
     out = []
     for key in keys[order].tolist():
-        a, b = key >> 32, key & 0xFFFFFFFF
+        a, b = key >> bits, key & ((1 << bits) - 1)
         if a not in seconds and b not in firsts and (a != b or a not in firsts and b not in seconds):
             firsts.add(a)
             seconds.add(b)
             out.append(key)
             if len(out) == most:
                 break
-    return np.array(sorted(out), np.uint64)
+    return np.array(sorted(out), keys.dtype)
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, least: int = LEAST_COUNT, rounds: int = ROUNDS,
@@ -69,25 +69,29 @@ def compress(ids: np.ndarray, starts: np.ndarray, least: int = LEAST_COUNT, roun
     first = int(sym.max()) + 1 if len(sym) else 0
     heads = np.zeros(len(sym) + 1, bool)  # where a document begins: no pair reaches over it
     heads[starts] = True
+    # A pair is one number, half as wide where all symbols fit in 16 bits.
+    bits = 16 if first + rounds * most < 0xFFFF else 32
+    kind = np.uint32 if bits == 16 else np.uint64
+    none = np.iinfo(kind).max
     rules: list[np.ndarray] = []
     n = 0
     for _ in range(rounds):
         if len(sym) < 2:
             break
-        key = (sym[:-1].astype(np.uint64) << np.uint64(32)) | sym[1:]
-        key[heads[1:len(sym)]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        key = (sym[:-1].astype(kind) << kind(bits)) | sym[1:]
+        key[heads[1:len(sym)]] = none
         ordered = np.sort(key)
         edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         counts = np.diff(np.append(edge, len(ordered)))
         values = ordered[edge]
-        if values[-1] == np.uint64(0xFFFFFFFFFFFFFFFF):
+        if values[-1] == none:
             values, counts = values[:-1], counts[:-1]
-        chosen = _choose(values, counts, most, least)
+        chosen = _choose(values, counts, bits, most, least)
         if not len(chosen):
             break
         # Only symbols that are first in a chosen pair are looked up.
         a_of = np.zeros(first + n + 1, bool)
-        a_of[(chosen >> np.uint64(32)).astype(np.int64)] = True
+        a_of[(chosen >> kind(bits)).astype(np.int64)] = True
         at = np.flatnonzero(a_of[sym[:-1]])
         k = np.searchsorted(chosen, key[at])
         k[k == len(chosen)] = 0
@@ -103,7 +107,7 @@ def compress(ids: np.ndarray, starts: np.ndarray, least: int = LEAST_COUNT, roun
         keep[at + 1] = False
         heads = heads[np.append(keep, True)]
         sym = sym[keep]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
+        rules.append(np.stack([chosen >> kind(bits), chosen & kind((1 << bits) - 1)], axis=1).astype(np.uint32))
         n += len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return sym, table, np.flatnonzero(heads[:-1]) if len(sym) else np.zeros(0, np.int64), first

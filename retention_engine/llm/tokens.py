@@ -43,6 +43,7 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
+        self.ends = dict(zip(",.", self._ids([",", "."]), strict=True))
         self.size = memo
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -68,19 +69,26 @@ class Encoder:
                 parts.append(f"\n{t}".replace("\n", " \n").split(" ")[1:])
             else:
                 parts.append(None)
-        new: set[str] = set()
-        for p in parts:
-            if p:
-                new.update(p)
-        fresh = [x for x in new if x not in memo]
+        got = [p and list(map(memo.get, p)) for p in parts]
+        new = {x for p, g in zip(parts, got, strict=True) if p for x, ids in zip(p, g, strict=True) if ids is None}
+        # A comma or full stop behind a letter is a unit of its own, which ends the piece.
+        stems = {x: x[:-1] for x in new if x[-1] in ",." and x[-2:-1].isalpha()}
+        fresh = [x for x in {stems.get(x, x) for x in new} if x not in memo]
         memo.update(zip(fresh, self._ids([x if x[0] == "\n" else " " + x for x in fresh]), strict=True))
+        for x, stem in stems.items():
+            memo[x] = memo[stem] + self.ends[x[-1]]
         whole = iter(self._ids([t for t, p in zip(texts, parts, strict=True) if p is None]))
-        # The first piece of a text was given a line feed (one id) in front.
-        out = [np.frombuffer(next(whole), np.uint32) if p is None
-               else np.frombuffer(b"".join(map(memo.__getitem__, p)), np.uint32)[1 if p else 0:] for p in parts]
-        for x in fresh:
+        out = []
+        for p, g in zip(parts, got, strict=True):
+            if p is None:
+                out.append(np.frombuffer(next(whole), np.uint32))
+            else:
+                ids = b"".join([memo[x] if i is None else i for x, i in zip(p, g, strict=True)])
+                # The first piece of a text was given a line feed (one id) in front.
+                out.append(np.frombuffer(ids, np.uint32)[1 if p else 0:])
+        for x in (*fresh, *stems):
             if len(x) > KEEP_CHARS:
-                del memo[x]
+                memo.pop(x, None)
         return out
 
 
