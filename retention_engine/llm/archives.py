@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from .common import batch_rows
 
 PACKAGE_BYTES = 4 << 20
@@ -155,6 +155,8 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = rows.select("*", F.length("payload").cast("long").alias("n"), F.sha2("payload", 256).alias("digest"))
     long_enough = F.col("n") >= REVISIT_BYTES
     first = rows.where(long_enough).groupBy("digest").agg(F.min("page_id").alias("first")).withColumnRenamed("digest", "k")
+    # Written before it is joined: a join straight on two shuffles is one that Spark can split.
+    first = materialize(first, "payload-first")
     # Short payloads meet nothing; their key is their own, so that they do not gather at one.
     key = F.when(long_enough, F.col("digest")).otherwise(F.concat(F.lit("#"), F.xxhash64("page_id", "url").cast("string")))
     out = rows.withColumn("k", key).join(first, "k", "left")
