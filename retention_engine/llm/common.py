@@ -5,6 +5,8 @@ of ASCII delimiters (bytes of multi-byte characters never are delimiters), so by
 """
 from __future__ import annotations
 
+import gc
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +19,7 @@ from ..session import materialize
 
 #: Documents are hashed in slices of about this many bytes, which bounds the temporary arrays.
 SLICE_BYTES = 1 << 20
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
@@ -41,6 +43,16 @@ def batch_rows(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def leave_memos() -> None:
+    """Drops what earlier tasks of another operator left in this worker (the tokenizer's memo): Python workers live on
+    from stage to stage, and what each keeps would add up."""
+    tokens = sys.modules.get(f"{__package__}.tokens")
+    if tokens is not None and tokens._encoders:
+        tokens._encoders.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, for n positions."""
     if "up" not in _powers or len(_powers["up"]) < n:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import batch_rows, components, mix, shingles, slices, split_words, whitespace_mask
+from .common import batch_rows, components, leave_memos, mix, shingles, slices, split_words, whitespace_mask
 
 NGRAM, PERCENT = 4, 85
 SKETCH_BITS = 20
@@ -83,6 +83,7 @@ def _read(ngram: int):
     step = (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_memos()
         total = np.zeros(1 << SKETCH_BITS, np.int32)
         for b in batches:
             sets = list(sets_of(b.column(1), ngram))
@@ -205,7 +206,7 @@ def _mixed(shared: DataFrame, every: DataFrame) -> DataFrame:
     placed = materialize(placed, "jaccard-placed")
     main = placed.groupBy("gram", "c").count().groupBy("gram").agg(
         F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return materialize(placed.join(main, "gram"), "jaccard-mixed")
+    return materialize(placed.join(materialize(main, "jaccard-main"), "gram"), "jaccard-mixed")
 
 
 def _partners(mixed: DataFrame, turn: int, percent: int, done: DataFrame | None) -> DataFrame:
@@ -217,6 +218,7 @@ def _partners(mixed: DataFrame, turn: int, percent: int, done: DataFrame | None)
         ranked = mixed.withColumn("w", F.xxhash64("node", F.lit(turn)))
     leader = ranked.groupBy("gram").agg(F.max(F.struct("w", "node", "c", "size")).alias("l")).select(
         "gram", F.col("l.node").alias("leader"), F.col("l.c").alias("lc"), F.col("l.size").alias("other"))
+    leader = materialize(leader, f"jaccard-leaders-{turn}")
     found = mixed.join(leader, "gram").where("c <> lc").groupBy("node", "size", "leader", "other").count()
     found = found.where(_possible("size", "other", "count", percent)).select(
         "node", "leader", "count", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
@@ -239,7 +241,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prefix = materialize(rows.where("doc_id IS NOT NULL").select("text").mapInArrow(
         _prefixes(rank, ngram, percent), "gram long, node long, size int"), "jaccard-prefixes")
     often = prefix.groupBy("gram").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("gram")
-    shared = materialize(prefix.join(often, "gram").distinct(), "jaccard-shared")
+    # Sums are written before they are joined: a join straight on two shuffles is one that Spark can split.
+    shared = materialize(prefix.join(materialize(often, "jaccard-often"), "gram"), "jaccard-twice")
+    shared = materialize(shared.distinct(), "jaccard-shared")
 
     links = pairs = None
     every = docs.sparkSession.createDataFrame([], "node long, component long")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import batch_rows, slices
+from .common import batch_rows, leave_memos, slices
 
 CELLS = 1 << 15
 SAMPLE_BYTES = 1_500_000
@@ -98,6 +98,7 @@ def _likelihoods(names: list[str], table: np.ndarray):
     k = len(names) + 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_memos()
         for b in batches:
             n, ll = np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, k))
             for a, z, data, off in slices(b.column(b.num_columns - 1)):
