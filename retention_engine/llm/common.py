@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 #: Documents are hashed in slices of about this many bytes, which bounds the temporary arrays.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 BATCH_ROWS = 256
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
