@@ -9,7 +9,9 @@ is e = floor(RATE * m), lowered where needed so that the lemma asks for at least
 touch are aligned together, so a row stands for each stretch of diagonals with the item and its best place there.
 
 Texts and items are compared in lower case with each run of characters that are neither letters nor digits as one
-space. Items shorter than ``LEAST_CHARS`` after that say too little and are left out.
+space. Items are searched whatever their length; ``least_chars`` leaves shorter ones out where a caller wants that.
+Short items have no edits (below q + LEAST_SHARED characters all their q-grams are asked for), and each of their exact
+places is a row. Items of fewer than q characters have no q-gram: they are found where they stand as whole words.
 
 The benchmark is a query set: it is cut into blocks of at most ``BLOCK_CHARS`` characters, one block at a time is
 sent to the executors, and all texts are read against each block. Q-grams of a text are looked up in the block's
@@ -34,7 +36,8 @@ from .common import batch_rows
 Q = 8
 RATE = 0.1
 LEAST_SHARED = 6
-LEAST_CHARS = 40
+#: Items with fewer normal characters are left out; 1: only those without any.
+LEAST_CHARS = 1
 BLOCK_CHARS = 2_000_000
 _GAPS = re.compile(r"[\W_]+")
 _BITS = 22
@@ -73,7 +76,12 @@ class Items:
         self.edits = np.array([budget(len(c), rate) for c in self.codes], np.int64)
         self.need = np.array([len(c) - Q + 1 for c in self.codes], np.int64) - self.edits * Q
         self.width = np.maximum(2 * self.edits + 2, 8)  # bands of this width, one every half of it
-        grams = [_grams(c) for c in self.codes]
+        grams = [_grams(c) if len(c) >= Q else np.zeros(0, np.uint64) for c in self.codes]
+        self.tiny: dict[str, list[int]] = {}
+        for i, t in enumerate(self.texts):
+            if len(t) < Q:
+                self.tiny.setdefault(t, []).append(i)
+        self.tiny_words = sorted({t.count(" ") + 1 for t in self.tiny})
         h = np.concatenate(grams)
         order = np.argsort(h, kind="stable")
         self.hash, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
@@ -127,6 +135,17 @@ class Items:
                 out.append((i, first, last))
         return out
 
+    def words(self, text: str) -> Iterator[tuple[int, int]]:
+        """(item, place) of the items below Q characters that are whole words of the text."""
+        if not self.tiny:
+            return
+        starts = [0, *(m.end() for m in re.finditer(" ", text)), len(text) + 1]
+        for n in self.tiny_words:
+            for a, z in zip(starts, starts[n:], strict=False):
+                if z - 1 - a < Q:
+                    for i in self.tiny.get(text[a:z - 1], ()):
+                        yield i, a
+
     def align(self, codes: np.ndarray, i: int, first: int, last: int) -> tuple[int, int, int] | None:
         """Fewest edits of item i within the diagonals first .. last (and its budget beside them), and the region."""
         e = int(self.edits[i])
@@ -168,12 +187,12 @@ def banded(item: np.ndarray, text: np.ndarray, first: int, last: int, most: int)
     return int(cost[best]), int(start[best]), m + first + best
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int, least_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Normal items in blocks of bounded size, as the table is read row by row."""
     held, size = [], 0
     for r in benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).toLocalIterator():
         t = normal(r["t"])
-        if len(t) < LEAST_CHARS:
+        if len(t) < max(1, least_chars):
             continue
         if held and size + len(t) > block_chars:
             yield held
@@ -185,11 +204,11 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+            item_text_col: str = "text", rate: float = RATE, block_chars: int = BLOCK_CHARS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc_id, item_id, start, end, edits, item_chars): places of items in texts, in characters of the normal text."""
     batch_rows(docs.sparkSession)
     out = None
-    for block in _blocks(benchmark, item_col, item_text_col, block_chars):
+    for block in _blocks(benchmark, item_col, item_text_col, block_chars, least_chars):
         found = _scan(docs, Items(block, rate), id_col, text_col)
         out = found if out is None else out.unionByName(found)
     if out is None:
@@ -204,8 +223,14 @@ def find(items: Items, text: str | None) -> list[tuple[int | None, int, int, int
     """(item id, start, end, edits, item characters) of every place found in a text."""
     text = normal(text)
     codes = _codes(text)
-    out = []
+    out = [(items.ids[i], at, at + len(items.codes[i]), 0, len(items.codes[i])) for i, at in items.words(text)]
     for i, first, last in items.bands(codes):
+        if items.edits[i] == 0:
+            at, m = text.find(items.texts[i], max(0, first)), len(items.codes[i])
+            while 0 <= at <= last:
+                out.append((items.ids[i], at, at + m, 0, m))
+                at = text.find(items.texts[i], at + 1)
+            continue
         exact = text.find(items.texts[i], max(0, first), max(0, last) + len(items.codes[i]))
         if exact >= 0:  # no alignment is better
             out.append((items.ids[i], exact, exact + len(items.codes[i]), 0, len(items.codes[i])))
@@ -228,10 +253,10 @@ def _scan(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFram
 
 
 def contaminated(text: Column, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE,
-                 block_chars: int = BLOCK_CHARS) -> Column:
+                 block_chars: int = BLOCK_CHARS, least_chars: int = LEAST_CHARS) -> Column:
     """Whether a text holds any item, as a column: for filters that keep a document's other columns as they are."""
     out = F.lit(False)
-    for block in _blocks(benchmark, item_col, item_text_col, block_chars):
+    for block in _blocks(benchmark, item_col, item_text_col, block_chars, least_chars):
         items = Items(block, rate)
 
         @F.pandas_udf("boolean")

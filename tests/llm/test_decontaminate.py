@@ -77,3 +77,31 @@ def test_query_rows(spark):
     flags = docs.select("doc_id", D.contaminated(docs["text"], bench).alias("c")).collect()
     assert np.mean([r["c"] for r in flags]) == 0.6
     assert D.matches(docs, bench.where("item_id > 50")).count() == 0 and D.matches(docs.where("doc_id > 50"), bench).count() == 0
+
+
+def places(item, text):
+    """All exact places of item (whole words if it is shorter than a q-gram)."""
+    at = [i for i in range(len(text)) if text.startswith(item, i)]
+    return at if len(item) >= D.Q else [i for i in at if f" {text} "[i] == " " and f" {text} "[i + len(item) + 1] == " "]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_short_items_at_all_their_places(seed):
+    rnd = random.Random(seed)
+    bench = ["a", "b c", "abcdefg", "aaaaaaaa", *(D.normal(words(rnd, rnd.randint(1, 4)))[:20].strip() for _ in range(20))]
+    for held in (bench, [b for b in bench if len(b) < D.Q]):
+        items = D.Items(list(enumerate(held)), D.RATE)
+        for _ in range(20):
+            text = D.normal(" ".join(rnd.choice([*held, words(rnd, 2), "aaaaaaaaaaa", "b c b c", "xabcdefg"]) for _ in range(30)))
+            want = {(i, at, at + len(b), 0, len(b)) for i, b in enumerate(held) for at in places(b, text)}
+            got = D.find(items, text)
+            assert set(got) == want and len(got) == len(want)
+
+
+def test_query_finds_short_items(spark):
+    docs = spark.createDataFrame([(1, "Q: what is the capital of Australia?  Sydney"), (2, "nothing; 42!"), (3, "x42"), (4, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "What is the capital of Australia?"), (2, "42"), (3, "?")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["start"], r["end"], r["edits"]) for r in D.matches(docs, bench).collect()}
+    assert got == {(1, 1, 2, 34, 0), (2, 2, 8, 10, 0)}
+    assert [r["c"] for r in docs.orderBy("doc_id").select("doc_id", D.contaminated(docs["text"], bench).alias("c")).collect()] == [True, True, False, False]
+    assert D.matches(docs, bench, least_chars=40).count() == 0
