@@ -1,14 +1,15 @@
 """Structured Streaming versions of scoring and monitoring (ST1–ST6).
 
 The same pure ``DataFrame → DataFrame`` operators used in batch are applied to streaming frames;
-stateful pieces use watermarks (bounded state) or ``applyInPandasWithState`` keyed by a small key
-(artefact, alert signal). Jobs run with ``Trigger.AvailableNow`` over file sources and keep their
+stateful pieces use watermarks (bounded state), ``applyInPandasWithState`` keyed by a small key (alert
+signal) or a small state table written by each trigger (count windows). Jobs run with ``Trigger.AvailableNow`` over file sources and keep their
 progress in the shared checkpoint folder, so a restarted job resumes where it stopped.
 """
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import quality as QU
-from ..session import scratch_path
+from ..operators.ranking import checked_broadcast, running_totals
+from ..session import materialize, scratch_path
 from ..sources.tables import table_path
 
 EVENT_SCHEMA = T.StructType([
@@ -58,12 +60,14 @@ def as_log(events: DataFrame) -> DataFrame:
                          F.when(ok, 1 + k % 5).alias("n_rows"))
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append", checkpoint: str | None = None) -> DataFrame:
+def run_available_now(df: DataFrame | VolumeWindows, name: str, output_mode: str = "append", checkpoint: str | None = None) -> DataFrame:
     """Run a streaming frame to completion over what is available; return its output.
 
     Appended rows go to a Parquet table in the shared folder, whatever their number. Only the ``complete`` mode, which
     the file sink does not take, uses a memory table: it is for small aggregates.
     """
+    if isinstance(df, VolumeWindows):
+        return _run_volume_windows(df, name, checkpoint)
     spark = df.sparkSession
     w = (df.writeStream.outputMode(output_mode).trigger(availableNow=True)
          .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}")))
@@ -75,6 +79,19 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append", che
     return spark.table(qn) if output_mode == "complete" else spark.read.schema(df.schema).parquet(path)
 
 
+def _run_volume_windows(windows: VolumeWindows, name: str, checkpoint: str | None) -> DataFrame:
+    spark = windows.scores.sparkSession
+    checkpoint, path = checkpoint or scratch_path(spark, f"stream-{name}"), scratch_path(spark, f"sink-{name}")
+    spark.createDataFrame([], VolumeWindows.SCHEMA).write.parquet(f"{path}/trigger=none")  # there may be nothing new
+    # The state stands beside the checkpoint, so a restarted job finds it.
+    q = (windows.scores.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+         .foreachBatch(windows.trigger(f"{checkpoint.rstrip('/')}-windows", path)).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.schema(VolumeWindows.SCHEMA).parquet(f"{path}/trigger=*")
+
+
 def service_panel_stream(log: DataFrame, window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
     """ST3: tumbling event-time panel per route (append mode: a window is emitted once the watermark
     passes it; state is bounded by the watermark)."""
@@ -114,39 +131,50 @@ def validate_and_route(batch_df: DataFrame, contract: QU.TableContract, accepted
 
 # ---- ST4 / ST5: custom state ----------------------------------------------------------------------
 
-VOLUME_OUT = T.StructType([T.StructField("artifact", T.StringType()), T.StructField("window_no", T.LongType()),
-                           T.StructField("n", T.LongType()), T.StructField("mean_score", T.DoubleType())])
-VOLUME_STATE = T.StructType([T.StructField("count", T.LongType()), T.StructField("sum", T.DoubleType()),
-                             T.StructField("window_no", T.LongType())])
-
-
-def _volume_fn(size: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        cnt, sm, wno = state.get if state.exists else (0, 0.0, 0)
-        # All rows of the trigger in one order, however they came in Arrow batches.
-        rows = pd.concat(list(pdfs)).sort_values(["ts", "request_id"], kind="stable")
-        score = rows["score"].to_numpy(dtype=float)
-        # The first cut closes the window that the state holds open.
-        cuts = list(range(size - cnt, len(score) + 1, size))
-        out, at = [], 0
-        for c in cuts:
-            sm += float(score[at:c].sum())
-            out.append((key[0], wno, size, round(sm / size, 6)))
-            sm, wno, cnt, at = 0.0, wno + 1, 0, c
-        state.update((cnt + len(score) - at, sm + float(score[at:].sum()), wno))
-        yield pd.DataFrame(out, columns=["artifact", "window_no", "n", "mean_score"])
-    return fn
-
-
-def volume_windows_stream(log: DataFrame, size: int = 400) -> DataFrame:
-    """ST4: count-based windows per artefact kept in state (count, running sum, window number).
+@dataclass
+class VolumeWindows:
+    """Count windows of a stream of (artifact, ts, request_id, score), run by ``run_available_now``."""
+    scores: DataFrame
+    size: int
+
+    SCHEMA = "artifact string, window_no long, n long, mean_score double"
+
+    def trigger(self, state_path: str, out_path: str):
+        """Micro-batch body: the trigger's rows are ranked in range-partitioned chunks; only sums and counts of windows are
+        gathered. The state, one row an artefact (its open window), is a table for each trigger, so a trigger that is
+        run again after a failure reads the same state and writes the same rows."""
+        size = self.size
+
+        def run(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            state = (spark.read.parquet(f"{state_path}/{batch_id - 1}") if batch_id else
+                     spark.createDataFrame([], "artifact string, window_no long, n long, total double"))
+            # Rows without a time come last.
+            rows = batch.withColumn("_k", F.coalesce(F.unix_micros("ts"), F.lit(2**63 - 1)))
+            ranked = running_totals(rows, "_k", [], ["artifact"], tiebreak=["request_id"]).select("artifact", "_rn", "score")
+            held = checked_broadcast(state.select(F.col("artifact").alias("a"), "window_no", "n"), "volume-held")
+            ranked = ranked.join(held, F.col("artifact").eqNullSafe(F.col("a")), "left")
+            no = F.coalesce("window_no", F.lit(0)) + F.floor((F.coalesce("n", F.lit(0)) + F.col("_rn") - 1) / size)
+            sums = ranked.groupBy("artifact", no.cast("long").alias("window_no")).agg(F.count("*").alias("n"), F.sum("score").alias("total"))
+            sums = sums.unionByName(state).groupBy("artifact", "window_no").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+            sums = materialize(sums, "volume-sums")
+            closed = F.col("n") == size
+            (sums.where(closed).select("artifact", "window_no", "n", F.round(F.col("total") / size, 6).alias("mean_score"))
+             .write.mode("overwrite").parquet(f"{out_path}/trigger={batch_id}"))
+            last = sums.groupBy("artifact").agg(F.max(F.struct("window_no", "n", "total")).alias("w")).select("artifact", "w.*")
+            last.select("artifact", F.when(closed, F.col("window_no") + 1).otherwise(F.col("window_no")).alias("window_no"),
+                        F.when(closed, 0).otherwise(F.col("n")).cast("long").alias("n"),
+                        F.when(closed, 0.0).otherwise(F.col("total")).alias("total")
+                        ).write.mode("overwrite").parquet(f"{state_path}/{batch_id}")
+        return run
+
+
+def volume_windows_stream(log: DataFrame, size: int = 400) -> VolumeWindows:
+    """ST4: count-based windows per artefact; the state is the open window (number, count, sum) of each.
 
     Rows of one trigger are ordered by time, then id; rows of a later trigger come after them whatever their time (a
-    closed window is never opened again). A trigger's rows of one artefact are held by one task: bound them with
-    ``max_files`` of the stream."""
-    p = log.where(F.col("score").isNotNull()).select("artifact", "ts", "request_id", "score")
-    return p.groupBy("artifact").applyInPandasWithState(
-        _volume_fn(size), VOLUME_OUT, VOLUME_STATE, "append", GroupStateTimeout.NoTimeout)
+    closed window is never opened again). No task holds an artefact's rows."""
+    return VolumeWindows(log.where(F.col("score").isNotNull()).select("artifact", "ts", "request_id", "score"), size)
 
 
 ALERT_OUT = T.StructType([T.StructField("signal", T.StringType()), T.StructField("window_start", T.TimestampType()),
