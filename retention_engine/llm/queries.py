@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import archives, decontaminate, grammar, jaccard, language, licenses, packing, passages, sharding, vectors
+from . import archives, decontaminate, grammar, jaccard, language, licenses, lines, packing, passages, sharding, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,14 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place of a benchmark item in a document, within the item's edit budget."""
     return decontaminate.matches(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that five documents or more have, but for the last document that has them."""
+    out = lines.drop_common_lines(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("line_count").alias("n_lines"), F.col("lines_dropped").alias("n_dropped"),
+                      F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_line_dedup"] = lines.oracle()
