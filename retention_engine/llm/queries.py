@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import archives, decontaminate, grammar, jaccard, language, licenses, lines, packing, passages, phrases, sharding, vectors
+from . import archives, decontaminate, grammar, jaccard, language, licenses, lines, packing, passages, phrases, sharding, tries, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,6 +112,15 @@ def op10_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return tries.rebuilt_trie(load(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_burst_trie"] = tries.oracle()
+
+
 @query
 def op12_toivonen_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2000 phrases of two and three words that hold together most."""
