@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +37,12 @@ from .common import batch_rows, leave_memos, mix, slices, split_words, text_buff
 #: Fixed values of the contract: what ends a piece, and what else ends a word.
 PIECE_ENDS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 LEAST, WORDS, SCALE, CONTAINED_PERCENT, TOP = 10, 3, 1_000_000, 50, 2000
-#: Share of the documents in the sample, and binary logarithm of a bitmap's cells.
-SHARE, BITS = 0.25, 26
+#: Share of the documents in the sample, and binary logarithm of a bitmap's cells (2 MB a length; some millions of
+#: proposals keep it sparse, a larger corpus is given more).
+SHARE, BITS = 0.25, 24
 #: Bytes of text handled at once, and phrases written out at once.
 SLICE_BYTES, CHUNK = 1 << 20, 1 << 18
 
-COUNTS = "lang string, words int, phrase string, cell long, n long"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -87,12 +88,28 @@ def _gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np
     return data[np.repeat(start - off[:-1], length) + np.arange(off[-1])], off
 
 
+def _hashes(word_hash: np.ndarray, seed: np.ndarray, longest: int) -> dict[int, np.ndarray]:
+    """Hash of the run of 1 to ``longest`` words from each word on, with its language's seed."""
+    m = len(word_hash)
+    first = mix(word_hash ^ mix(seed + _STEP))
+    out = {1: first}
+    for k in range(2, longest + 1):
+        n = max(m - k + 1, 0)
+        out[k] = mix(out[k - 1][:n] * _STEP + first[m - n:] + np.array(k, np.uint64))
+    return out
+
+
+def _languages(lang: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct languages, the code of each row and the seed of each code."""
+    names = lang.fill_null("und").dictionary_encode()
+    seeds = np.array([zlib.crc32(v.encode()) for v in names.dictionary.to_pylist()] or [0], np.uint64)
+    return names.dictionary.cast(pa.string()), names.indices.to_numpy(zero_copy_only=False), seeds
+
+
 def _count(lang: pa.Array, text: pa.Array, longest: int, wanted: Callable) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases of one batch, slice by slice. ``wanted(words, valid, hashes)`` picks the places to count,
     ``hashes`` and ``valid`` by number of words."""
-    names = lang.fill_null("und").dictionary_encode()
-    codes = names.indices.to_numpy(zero_copy_only=False)
-    seeds = np.array([zlib.crc32(v.encode()) for v in names.dictionary.to_pylist()] or [0], np.uint64)
+    names, codes, seeds = _languages(lang)
     data, off = text_buffers(text)
     parts, row = _cut_long(data, off)
     a = 0
@@ -109,11 +126,9 @@ def _count(lang: pa.Array, text: pa.Array, longest: int, wanted: Callable) -> It
         passed = np.zeros(len(some) + 1, np.int64)
         np.cumsum(_ENDS[some], out=passed[1:])
         joined = (w.doc[1:] == w.doc[:-1]) & (passed[start[1:]] == passed[end[:-1]])
-        first = mix(w.hash ^ mix(seeds[code] + _STEP))
-        hashes, valid = {1: first}, {1: np.ones(m, bool)}
+        hashes, valid = _hashes(w.hash, seeds[code], longest), {1: np.ones(m, bool)}
         for k in range(2, longest + 1):
             n = max(m - k + 1, 0)
-            hashes[k] = mix(hashes[k - 1][:n] * _STEP + first[m - n:] + np.array(k, np.uint64))
             valid[k] = valid[k - 1][:n] & joined[m - 1 - n:]
         # the words with one space behind each, so that a phrase is a run of bytes
         length = end - start
@@ -125,39 +140,50 @@ def _count(lang: pa.Array, text: pa.Array, longest: int, wanted: Callable) -> It
                 i = places[c:c + CHUNK]
                 body, ends = _gather(spaced, at[i], at[i + k] - 1 - at[i])
                 strings = pa.LargeStringArray.from_buffers(len(i), pa.py_buffer(ends), pa.py_buffer(body)).cast(pa.string())
-                t = pa.table({"lang": code[i], "phrase": strings, "cell": hashes[k][i].view(np.int64)})
-                t = t.group_by(["lang", "phrase"], use_threads=False).aggregate([("cell", "min"), ("cell", "count")])
-                yield _rows(names.dictionary.take(t["lang"].combine_chunks()), k, t["phrase"].combine_chunks(),
-                            t["cell_min"].combine_chunks(), t["cell_count"].combine_chunks())
+                t = pa.table({"lang": code[i], "phrase": strings}).group_by(["lang", "phrase"], use_threads=False).aggregate([([], "count_all")])
+                yield _rows(names.take(t["lang"].combine_chunks()), t["phrase"].combine_chunks(), t["count_all"].combine_chunks())
         seen, n = np.unique(code, return_counts=True)  # all words of a language: a phrase of no words
-        yield _rows(names.dictionary.take(pa.array(seen)), 0, pa.array([""] * len(seen)), pa.array(np.zeros(len(seen), np.int64)),
-                    pa.array(n.astype(np.int64)))
+        yield _rows(names.take(pa.array(seen)), pa.array([""] * len(seen)), pa.array(n.astype(np.int64)))
 
 
-def _rows(lang, words: int, phrase, cell, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([lang.cast(pa.string()), pa.array(np.full(len(n), words, np.int32)), phrase, cell, n],
-                                      names=["lang", "words", "phrase", "cell", "n"])
+def _rows(lang: pa.Array, phrase: pa.Array, n: pa.Array) -> pa.RecordBatch:
+    """Language and phrase as one key (a phrase has no tab), which is cheaper to shuffle than two."""
+    return pa.RecordBatch.from_arrays([pc.binary_join_element_wise(lang, phrase, "\t"), n], names=["key", "n"])
 
 
 def _pass(docs: DataFrame, longest: int, wanted: Callable, least: int, name: str) -> DataFrame:
-    """(lang, words, phrase, cell, n) of the phrases that one pass picks and finds ``least`` times or more, written."""
+    """(lang, words, phrase, n) of the phrases that one pass picks and finds ``least`` times or more, written."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leave_memos()
         for batch in batches:
             yield from _count(batch.column(0), batch.column(1), longest, wanted)
-    counts = docs.mapInArrow(count, COUNTS).groupBy("lang", "words", "phrase").agg(F.max("cell").alias("cell"), F.sum("n").alias("n"))
-    return materialize(counts.where((F.col("n") >= least) | (F.col("words") == 0)), name)
+    counts = docs.mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = counts.where((F.col("n") >= least) | F.endswith("key", F.lit("\t")))
+    phrase = F.substring_index("key", "\t", -1)
+    words = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ")))
+    return materialize(counts.select(F.expr("left(key, length(key) - length(substring_index(key, '\t', -1)) - 1)").alias("lang"),
+                                     words.alias("words"), phrase.alias("phrase"), "n"), name)
+
+
+def _cells(bits: int, words: int) -> Callable:
+    """Bits to set, by the bitmap's 64-bit word, for phrases of so many words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, codes, seeds = _languages(batch.column(0))
+            data, off = text_buffers(batch.column(1))
+            w = split_words(data, off, _WORD, lower=False)
+            cell = _hashes(w.hash, seeds[codes][w.doc], words)[words][w.first[:-1]] >> np.uint64(64 - bits)
+            yield pa.RecordBatch.from_arrays([pa.array((cell >> np.uint64(6)).view(np.int64)),
+                                              pa.array((np.uint64(1) << (cell & np.uint64(63))).view(np.int64))], names=["at", "v"])
+    return run
 
 
 def _bitmap(phrases: DataFrame, words: int, bits: int, old: Bitmap | None = None) -> Bitmap:
     """The cells of the phrases of so many words, added to ``old``; at most ``2 ** (bits - 6)`` rows are collected."""
-    cell = F.shiftrightunsigned("cell", 64 - bits)
-    rows = (phrases.where(F.col("words") == words)
-            .groupBy(F.shiftright(cell, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(cell, {64 - bits}) & 63 AS int))")).alias("v"))
-            .toPandas())
+    cells = phrases.where(F.col("words") == words).select("lang", "phrase").mapInArrow(_cells(bits, words), "at long, v long")
+    rows = cells.groupBy("at").agg(F.bit_or("v").alias("v")).toArrow()
     out = old.words.copy() if old is not None else np.zeros(1 << max(bits - 6, 0), np.uint64)
-    at = rows["at"].to_numpy(np.int64)
-    out[at] |= rows["v"].to_numpy(np.int64).view(np.uint64)
+    out[rows["at"].to_numpy()] |= rows["v"].to_numpy().view(np.uint64)
     return Bitmap(out, bits)
 
 
@@ -188,6 +214,7 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
             return out if old is None else out & ~both(old)
 
         got = _pass(docs, words, wanted, least, "phrases-pass")
+        sent.destroy()
         # words are counted by the first pass only; so is their total
         got = got if before is None else got.where(F.col("words") > 0)
         found = got if found is None else found.unionByName(got)
