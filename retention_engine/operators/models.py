@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..session import scratch_path
+from . import contract as CO
 from .drift import category_baseline, numeric_baseline, score_baseline
 from .metrics import average_precision, point_metrics
 from .prep import build_pipeline
@@ -255,6 +256,11 @@ def load_artifact(spark, path: str, strict: bool = True):
     prep = [s for s in model.stages if hasattr(s, "feature_names")][0]
     if meta.get("features") != prep.feature_names():
         raise ArtifactError("declared features differ from the pipeline's features")
+    if "contract" in meta:
+        kept = CO.from_json(meta["contract"])
+        limits = {f.name: (f.lo, f.hi) for f in kept.fields if f.kind == "numeric"}
+        if CO.contract_from_model(model, limits, kept.key, kept.target, kept.forbidden) != kept:
+            raise ArtifactError("input contract differs from the pipeline's fields")
     base = {}
     for name in ("numeric", "categorical", "score"):
         base[name] = read_if_there(lambda name=name: spark.read.parquet(os.path.join(path, f"baseline_{name}")))
@@ -269,9 +275,10 @@ def load_artifact(spark, path: str, strict: bool = True):
 
 
 def promote(spark, train: DataFrame, val: DataFrame, kind: str, zero, nums, cats, label: str, threshold: float,
-            path: str | None = None, min_ap: float = 0.66, max_brier: float = 0.14, lineage: dict | None = None, **kw):
+            path: str | None = None, min_ap: float = 0.66, max_brier: float = 0.14, lineage: dict | None = None, limits: dict | None = None, **kw):
     """Measure-then-promote the same object: fit → validation metrics → gate; only an approved model is
-    written (with baselines) and re-loaded, then a round-trip check compares the two score sets."""
+    written (with baselines) and re-loaded, then a round-trip check compares the two score sets. With ``limits`` of the
+    numeric fields the input contract read out of the fitted pipeline is kept in the metadata."""
     model = fit_pipeline(train, kind, zero, nums, cats, label=label, **kw)
     m = validation_metrics(model, val, label, threshold).first()
     approved = (m["ap"] is not None and m["ap"] >= min_ap) and m["brier"] <= max_brier
@@ -284,6 +291,8 @@ def promote(spark, train: DataFrame, val: DataFrame, kind: str, zero, nums, cats
     vs = score(model, val)
     meta = {"features": prep.feature_names(), "raw_features": list(zero) + list(nums) + list(cats),
             "threshold": threshold, "metrics": {"ap": m["ap"], "brier": m["brier"]}, "lineage": lineage or {}}
+    if limits is not None:
+        meta["contract"] = CO.to_json(CO.contract_from_model(model, limits, target=label))
     baselines = {"numeric": numeric_baseline(train, list(zero) + list(nums)),
                  "categorical": category_baseline(train, list(cats)),
                  "score": score_baseline(vs, "probability", threshold)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
+from ..operators import contract as CO
 from ..operators import fairness as FA
 from ..operators import models as MD
 from ..operators import selection as SE
@@ -152,6 +153,39 @@ def q_promote_approved(spark, sf_dir):
     return spark.createDataFrame(rows, "check string, ok boolean")
 
 
+#: Declared limits of the numeric fields (a business decision, wider than the data).
+LIMITS = {"total_charges": (0.0, 1e8), "tenure_days": (0.0, 20000.0), "monthly_charges": (0.0, 1e6), "recency_days": (0.0, 20000.0)}
+
+
+def _contract_sql() -> str:
+    name = lambda c: f"'{c}' AS field, trim(lower(regexp_replace('{c}', '[^0-9a-zA-Z]+', '_', 'g')), '_') AS identifier"
+    rows = [f"SELECT variant, {i} AS position, {name(c)}, 'numeric' AS kind, {LIMITS[c][0]}::DOUBLE AS lo, {LIMITS[c][1]}::DOUBLE AS hi, '' AS allowed, "
+            f"{c in ZERO} AS nullable FROM fit GROUP BY variant" for i, c in enumerate(ZERO + NUMS)]
+    rows += [f"SELECT variant, {i + len(ZERO + NUMS)}, {name(c)}, 'categorical', NULL, NULL, string_agg(DISTINCT {c}, ',' ORDER BY {c}), false FROM fit GROUP BY variant"
+             for i, c in enumerate(CATS)]
+    return " UNION ALL ".join(rows)
+
+
+@query("contract_from_pipeline", ops=("P10", "P9"), sql=SPLIT_SQL + f"""
+, fit AS (SELECT 'all levels' AS variant, * FROM sp WHERE split = 'train'
+          UNION ALL SELECT 'a level less', * FROM sp WHERE split = 'train' AND segment > (SELECT min(segment) FROM sp WHERE split = 'train')),
+  c AS ({_contract_sql()})
+SELECT *, variant = 'all levels' OR (SELECT count(DISTINCT segment) FROM sp WHERE split = 'train') = 0 AS as_kept FROM c""")
+def q_contract_from_pipeline(spark, sf_dir):
+    """The input contract read out of two fitted pipelines, one fitted without the customers of the first segment: its
+    contract does not know that level, and differs from the one kept with the artefact."""
+    tr, _ = _split(spark, sf_dir)
+    less = tr.where(F.col("segment") > F.lit(tr.agg(F.min("segment")).first()[0]))
+    kept, out = None, None
+    for variant, rows in (("all levels", tr), ("a level less", less)):
+        contract = CO.contract_from_model(MD.fit_pipeline(rows, "prior", ZERO, NUMS, CATS, label=LABEL), LIMITS)
+        kept = kept or CO.version(contract)
+        d = CO.as_frame(spark, CO.from_json(CO.to_json(contract))).withColumn("allowed", F.array_join("allowed", ","))
+        d = d.select(F.lit(variant).alias("variant"), "*", F.lit(CO.version(contract) == kept).alias("as_kept"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 @query("unawareness_audit", ops=("Q7", "Q8"))
 def q_unawareness_audit(spark, sf_dir):
     """Drop the sensitive attribute (region), refit, re-audit recall disparity across regions."""

@@ -38,4 +38,4 @@ def load_all() -> dict[str, Query]:
 
 
 MODULES = ("q_ranking", "q_drift", "q_monitor", "q_fairness", "q_quality", "q_split", "q_prep",
-           "q_profile", "q_selection", "q_gate", "q_models", "q_stream")
+           "q_profile", "q_selection", "q_gate", "q_models", "q_stream", "q_alerts")
