@@ -68,7 +68,7 @@ def classifier(kind: str, n_train: int, label: str = "y", weight_col: str | None
     if kind == "lr":
         c, l1 = kw.get("C", 1.0), kw.get("l1_ratio", 0.0)
         lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * n_train),
-                                elasticNetParam=l1, standardization=False, maxIter=kw.get("maxIter", 1000), tol=1e-8)
+                                elasticNetParam=l1, standardization=False, maxIter=kw.get("maxIter", 1000), tol=kw.get("tol", 1e-8))
         return lr.setWeightCol(weight_col) if weight_col else lr
     if kind == "tree":
         return DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=kw.get("maxDepth", 30),

@@ -7,7 +7,9 @@ from ..functions.columns import r6
 from ..operators import contract as CO
 from ..operators import fairness as FA
 from ..operators import models as MD
+from ..operators import search as SR
 from ..operators import selection as SE
+from ..operators.ranking import with_row
 from ..operators.split import holdout_split, repeated_folds, stratified_split
 from ..session import scratch_path
 from .common import snapshot
@@ -75,39 +77,73 @@ def q_permutation_importance(spark, sf_dir):
     return MD.permutation_importance(m, va, ZERO + NUMS + CATS, label=LABEL, repeats=10)
 
 
-_GRID = [{"kind": "lr", "C": c, "l1_ratio": l1} for c in (0.001, 0.01, 0.1, 1.0, 10.0, 100.0) for l1 in (0.0, 0.5, 1.0)]
+#: L-BFGS stops at this relative change; below it the line search fails on some folds without a better objective.
+_LR = {"kind": "lr", "tol": 1e-6}
+_GRID = [_LR | {"C": c, "l1_ratio": l1} for c in (0.001, 0.01, 0.1, 1.0, 10.0, 100.0) for l1 in (0.0, 0.5, 1.0)]
+REPS = 3
 
 
-@query("grid_search_lr", ops=("V4", "V1", "V6"))
+def _encoded(spark, sf_dir, reps=REPS, encoding="onehot", folds=None):
+    """Train's folds (5 of each repetition), encoded once for all candidates."""
+    if folds is None:
+        folds = repeated_folds(_split(spark, sf_dir)[0], k=5, reps=reps, label=LABEL)
+    return SR.encode_folds(folds, ZERO, NUMS, CATS, LABEL, encoding)
+
+
+def _lr_choice(spark, sf_dir, candidates, k):
+    """Search over LR candidates and the 1-SE choice: smallest C, then largest l1."""
+    table = SR.table(SR.run(_encoded(spark, sf_dir), candidates, spark))
+    params = spark.createDataFrame([(i, c["C"], c["l1_ratio"]) for i, c in enumerate(candidates)], "candidate long, C double, l1 double")
+    chosen = SR.one_se(table.join(params, "candidate"), [F.col("C").asc(), F.col("l1").desc(), F.col("candidate").asc()])
+    return SR.rounded(chosen.drop("scores", "seconds").withColumn("candidates", F.lit(k)))
+
+
+@query("grid_search_lr", ops=("V4", "V1", "V6", "S4"))
 def q_grid_search_lr(spark, sf_dir):
-    """18-config LR grid (C × l1) cross-validated on 5 stratified folds of train (one repetition), then
-    the 1-SE choice (smallest C, then largest l1)."""
-    tr, _ = _split(spark, sf_dir)
-    folds = repeated_folds(tr, k=5, reps=1, label=LABEL)
-    cv = MD.cross_validate(folds, _GRID, ZERO, NUMS, CATS, label=LABEL, parallelism=8) \
-           .withColumnRenamed("config", "candidate")
-    s = SE.cv_summary(cv)
-    params = spark.createDataFrame([(i, g["C"], g["l1_ratio"]) for i, g in enumerate(_GRID)], "candidate long, C double, l1 double")
-    s = s.join(params, "candidate")
-    return SE.one_se(s, [F.col("C").asc(), F.col("l1").desc(), F.col("candidate").asc()])
+    """18-config LR grid (C × l1) on the same 5 × 3 stratified folds of train, encoded once; the 1-SE choice on unrounded
+    means with its train mean, gap and the number of its fits that converged."""
+    return _lr_choice(spark, sf_dir, _GRID, len(_GRID))
+
+
+@query("random_search_lr", ops=("V5", "V6"))
+def q_random_search_lr(spark, sf_dir):
+    """40 random draws (C log-uniform in 0.001 … 100, l1 uniform) on the same 5 × 3 folds: 600 fits, and the 1-SE choice."""
+    draws = SE.random_search_configs(spark, 40, {"C": (1e-3, 1e2, True), "l1_ratio": (0.0, 1.0, False)}).orderBy("draw").collect()   # 40 rows
+    return _lr_choice(spark, sf_dir, [_LR | {"C": r["C"], "l1_ratio": r["l1_ratio"]} for r in draws], 40)
+
+
+_TABLE = [("prior", {"kind": "prior"}), ("lr", _LR), ("lr, C 0.01", _LR | {"C": 0.01}), ("lr, l1", _LR | {"C": 0.1, "l1_ratio": 1.0}),
+          ("tree, unpruned", {"kind": "tree"}), ("tree, leaves of 40", {"kind": "tree", "maxDepth": 8, "minInstancesPerNode": 40})]
+
+
+@query("cv_table", ops=("V1", "V2", "S4"))
+def q_cv_table(spark, sf_dir):
+    """Candidates on the same 5 × 3 folds: mean, std, mean on train, gap, difference from LR in its std, and the score of
+    every fold."""
+    table = SR.table(SR.run(_encoded(spark, sf_dir), [c for _, c in _TABLE], spark))
+    names = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(_TABLE)], "candidate long, model string")
+    base = table.where("candidate = 1").select(F.col("mean").alias("bm"), F.col("std").alias("bs"))
+    out = with_row(table.join(names, "candidate"), base)
+    return SR.rounded(out.select("model", "mean", "std", "train_mean", "gap", (F.col("mean") - F.col("bm")).alias("delta"),
+                                 F.try_divide(F.col("mean") - F.col("bm"), F.col("bs")).alias("delta_in_std"), F.col("k").alias("folds"),
+                                 F.transform("scores", lambda s: r6(s)).alias("scores")))
 
 
 @query("ablation", ops=("V11", "P3", "V12"))
 def q_ablation(spark, sf_dir):
-    """Leave-one-feature-out: CV AP loss when a whole original column is dropped before encoding;
-    'useful' when the loss exceeds half the base std."""
-    tr, _ = _split(spark, sf_dir)
-    folds = repeated_folds(tr, k=5, reps=1, label=LABEL)
+    """Leave-one-feature-out on 5 × 3 folds: the loss of AP when a whole original column goes ('useful' when it exceeds
+    half the base's std), then all columns whose loss is not positive go together and the rest is fitted once more."""
+    encoded = _encoded(spark, sf_dir)
     feats = ZERO + NUMS + CATS
-    configs = [{"kind": "lr"}] + [{"kind": "lr", "exclude": [f]} for f in feats]
-    cv = MD.cross_validate(folds, configs, ZERO, NUMS, CATS, label=LABEL, parallelism=8)
-    s = cv.groupBy("config").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
-    names = spark.createDataFrame([(0, "(none)")] + [(i + 1, f) for i, f in enumerate(feats)], "config long, dropped string")
-    b = s.where(F.col("config") == 0).select(F.col("mean").alias("bm"), F.col("std").alias("bs"))
-    from ..operators.ranking import with_row
-    j = with_row(s.join(names, "config"), b)
-    return j.select("dropped", r6("mean").alias("mean"), r6(F.col("bm") - F.col("mean")).alias("loss"),
-                    ((F.col("bm") - F.col("mean")) > F.col("bs") / 2).alias("useful"))
+    first = SR.table(SR.run(encoded, [_LR] + [_LR | {"without": [f]} for f in feats], spark)).select("candidate", "mean", "std")
+    rows = {r["candidate"]: (r["mean"], r["std"]) for r in first.collect()}                      # one row a candidate
+    base, std = rows[0]
+    useless = [f for i, f in enumerate(feats) if base - rows[i + 1][0] <= 0]
+    out = [("(none)", 0, base, 0.0, False)] + [(f, 1, rows[i + 1][0], base - rows[i + 1][0], base - rows[i + 1][0] > std / 2) for i, f in enumerate(feats)]
+    if useless and len(useless) < len(feats):
+        joint = SR.table(SR.run(encoded, [_LR | {"without": useless}], spark)).first()["mean"]
+        out.append(("+".join(useless), len(useless), joint, base - joint, base - joint > std / 2))
+    return SR.rounded(spark.createDataFrame(out, "dropped string, n_dropped long, mean double, loss double, useful boolean"))
 
 
 @query("promote_artifact", ops=("G3", "G4", "G5", "G7", "IO6", "IO7"))
@@ -261,42 +297,67 @@ def q_categorical_mask(spark, sf_dir):
 
 @query("encoding_effect", ops=("V3",))
 def q_encoding_effect(spark, sf_dir):
-    """Same LR, one-hot vs ordinal encoding, on identical folds: Δ mean and Δ in std units."""
-    tr, _ = _split(spark, sf_dir)
-    folds = repeated_folds(tr, k=5, reps=1, label=LABEL)
-    cv = MD.cross_validate(folds, [{"kind": "lr", "encoding": "onehot"}, {"kind": "lr", "encoding": "ordinal"}],
-                           ZERO, NUMS, CATS, label=LABEL, parallelism=8)
-    s = cv.groupBy("config").agg(F.avg("score").alias("m"), F.stddev_pop("score").alias("s"))
-    w = s.groupBy().agg(F.max(F.when(F.col("config") == 0, F.col("m"))).alias("onehot"),
-                        F.max(F.when(F.col("config") == 1, F.col("m"))).alias("ordinal"),
-                        F.max(F.when(F.col("config") == 0, F.col("s"))).alias("s0"))
-    return w.select(r6("onehot").alias("onehot"), r6("ordinal").alias("ordinal"),
-                    r6(F.col("onehot") - F.col("ordinal")).alias("delta"),
-                    r6(F.try_divide(F.col("onehot") - F.col("ordinal"), F.col("s0"))).alias("delta_in_std"))
+    """LR and an unpruned tree, one-hot against ordinal encoding, on identical 5 × 3 folds: Δ mean and Δ in std units."""
+    folds = repeated_folds(_split(spark, sf_dir)[0], k=5, reps=REPS, label=LABEL)
+    models = [("lr", _LR), ("tree", {"kind": "tree"})]
+    names = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(models)], "candidate long, model string")
+    both = [SR.table(SR.run(_encoded(spark, sf_dir, encoding=e, folds=folds), [c for _, c in models], spark)).select(
+        "candidate", F.col("mean").alias(e), F.col("std").alias(f"{e}_std"), "k") for e in ("onehot", "ordinal")]
+    j = both[0].join(both[1].drop("k"), "candidate").join(names, "candidate")
+    return SR.rounded(j.select("model", "onehot", "ordinal", (F.col("onehot") - F.col("ordinal")).alias("delta"),
+                               F.try_divide(F.col("onehot") - F.col("ordinal"), F.col("onehot_std")).alias("delta_in_std"), F.col("k").alias("folds")))
+
+
+KS = (5, 10, 15)
 
 
 @query("selector_leakage_audit", ops=("V13", "F13"))
 def q_selector_leakage_audit(spark, sf_dir):
-    """Univariate (ANOVA F) selection of the 2 best numeric features done outside the folds (on all of
-    train) vs inside each fold: the outside variant's CV AP is optimistic when selection leaks."""
-    from ..operators.metrics import average_precision
-    from ..operators.prep import anova_f
+    """The best 5, 10 and 15 encoded slots by ANOVA F, chosen inside each of 5 folds and, wrongly, once on all of train:
+    the AP of both and what the second wins by having seen the held-out labels."""
     tr, _ = _split(spark, sf_dir)
     folds = repeated_folds(tr, k=5, reps=1, label=LABEL)
-    cand = ZERO + NUMS
-
-    def top2(df):
-        rows = anova_f(df, cand, LABEL).collect()                      # one row per feature
-        return [r["feature"] for r in sorted(rows, key=lambda r: (-(r["f_stat"] or 0.0), r["feature"]))[:2]]
-    outside = top2(tr)
-    out = []
-    for fold in range(5):
-        fit, held = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)
-        for variant, keep in (("outside", outside), ("inside", top2(fit))):
-            ex = [c for c in cand if c not in keep]
-            m = MD.fit_pipeline(fit, "lr", ZERO, NUMS, CATS, label=LABEL, exclude=ex)
-            ap = average_precision(MD.score(m, held).withColumn("_y", F.col(LABEL)), "probability", "_y").first()["ap"]
-            out.append((variant, fold, ",".join(sorted(keep)), ap))
-    d = spark.createDataFrame(out, "variant string, fold int, selected string, ap double")
-    return d.groupBy("variant").agg(r6(F.avg("ap")).alias("cv_ap"), F.count(F.lit(1)).alias("folds"),
-                                    F.array_join(F.array_sort(F.collect_set("selected")), ";").alias("selections"))
+    encoded = _encoded(spark, sf_dir, folds=folds)
+    whole, names = _encoded_whole(tr)
+    f = SR.TopFSelector(labelCol=LABEL).f_values(whole)
+    outside = {k: [names[j] for j in sorted(range(len(f)), key=lambda j: (f[j] is None, -(f[j] or 0.0), j))[:k]] for k in KS}
+    table = SR.table(SR.run(encoded, [_LR | {"select": k} for k in KS] + [_LR | {"only": outside[k]} for k in KS], spark))
+    rows = {r["candidate"]: (r["mean"], r["k"]) for r in table.collect()}
+    out = [(k, rows[i][0], rows[i + len(KS)][0], rows[i + len(KS)][0] - rows[i][0], rows[i][1]) for i, k in enumerate(KS)]
+    return SR.rounded(spark.createDataFrame(out, "k int, inside double, outside double, inflation double, folds long"))
+
+
+def _encoded_whole(rows):
+    """Rows encoded by statistics of their own, and the names of the slots."""
+    from ..operators.prep import Preprocessor, build_pipeline
+    stages = build_pipeline(Preprocessor(), ZERO, NUMS, CATS).getStages()[:2]
+    from pyspark.ml import Pipeline
+    model = Pipeline(stages=stages).fit(rows)
+    return model.transform(rows), model.stages[0].feature_names()
+
+
+def _slots_sql() -> str:
+    """(feature, value, label) of every encoded slot before scaling, which does not change F."""
+    parts = [f"SELECT '{c}_z' AS feature, coalesce({c}, 0.0) AS value, y_signal AS label FROM tr" for c in ZERO]
+    parts += [f"SELECT '{c}_z', coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM tr)), y_signal FROM tr" for c in NUMS]
+    parts += [f"SELECT '{c}=' || v, CAST(coalesce({c}, (SELECT {c} FROM tr WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) = v AS DOUBLE), y_signal "
+              f"FROM tr, (SELECT DISTINCT {c} AS v FROM tr WHERE {c} IS NOT NULL)" for c in CATS]
+    return " UNION ALL ".join(parts)
+
+
+@query("selector_topk", ops=("F13",), sql=SPLIT_SQL + f"""
+, tr AS (SELECT * FROM sp WHERE split = 'train'), s AS ({_slots_sql()}),
+  c AS (SELECT feature, label, count(*) AS n, avg(value) AS m, coalesce(var_samp(value), 0) AS v FROM s GROUP BY ALL),
+  g AS (SELECT feature, sum(n) AS n, sum(n * m) / sum(n) AS m, count(*) AS k FROM c GROUP BY 1),
+  f AS (SELECT feature, CASE WHEN sum((c.n - 1) * v) > 0 THEN (sum(c.n * pow(c.m - g.m, 2)) / (any_value(g.k) - 1)) / (sum((c.n - 1) * v) / (any_value(g.n) - any_value(g.k))) END AS f
+        FROM c JOIN g USING (feature) GROUP BY 1)
+SELECT feature, round(f, 4) AS f_stat, row_number() OVER (ORDER BY f DESC NULLS LAST) AS place FROM f QUALIFY place <= 15""")
+def q_selector_topk(spark, sf_dir):
+    """The selector stage in a pipeline behind the preprocessing of train: the 15 encoded slots with the largest F."""
+    tr, _ = _split(spark, sf_dir)
+    encoded, names = _encoded_whole(tr)
+    selector = SR.TopFSelector(labelCol=LABEL, k=15)
+    kept, f = selector.fit(encoded).getIndices(), selector.f_values(encoded)
+    order = sorted(kept, key=lambda j: (f[j] is None, -(f[j] or 0.0), j))
+    return spark.createDataFrame([(names[j], f[j], i + 1) for i, j in enumerate(order)], "feature string, f_stat double, place long").withColumn(
+        "f_stat", F.round("f_stat", 4))
