@@ -2,7 +2,10 @@
 
 Text: a naive Bayes model over byte trigrams (hashed to ``CELLS`` cells), fitted on a bounded sample of rows with a
 declared language (about ``SAMPLE_ROWS`` rows a language, drawn by a hash of their id, at most ``SAMPLE_BYTES`` of
-each language in a task), applied to every trigram of every text. Trigrams of one text are not independent, so its log-likelihood is tempered to at most
+each language in a task), applied to every trigram of every text. A trigram that only one sampled row of a language has
+tells about that row, not about the language, and would count the row's declared language a second time as text; such
+trigrams are left out (of languages with ``ROWS_FOR_TWICE`` sampled rows or more). Declared tags count by their first
+subtag (``en-us`` is ``en``). Trigrams of one text are not independent, so its log-likelihood is tempered to at most
 ``EVIDENCE_TRIGRAMS`` of them. A class for noise (all bytes alike) stands beside the languages.
 
 Everything else is counted over all rows by grouped aggregation: the text posteriors, summed by declared language, by
@@ -38,7 +41,9 @@ SAMPLE_ROWS = 1_000
 EVIDENCE_TRIGRAMS = 60
 PRIOR_ROWS = 20.0
 LEAST = 0.5
+#: Bound of the model: the most frequent declared languages that are fitted.
 MOST_LANGUAGES = 200
+ROWS_FOR_TWICE = 10
 SHARES, FIT_TASKS = 1 << 30, 16
 #: Hosts whose sums are broadcast; more are joined by a shuffle that Spark can split.
 BROADCAST_HOSTS = 100_000
@@ -71,25 +76,27 @@ def fit(docs: DataFrame, text: Column, declared: Column, seed: Column, sample_ro
     picked = rows.where(F.col("h") < share[F.col("l")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[str, np.ndarray] = {}  # counts of the cells, and rows that have them
         for b in batches:
             for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 raw = np.frombuffer(t.encode()[:sample_bytes], np.uint8)
-                if len(raw) > 2 and (lang not in sums or sums[lang].sum() < sample_bytes):
-                    sums[lang] = sums.get(lang, 0) + np.bincount(_cells(raw), minlength=CELLS)
+                if len(raw) > 2 and (lang not in sums or sums[lang][0].sum() < sample_bytes):
+                    n = np.bincount(_cells(raw), minlength=CELLS)
+                    sums[lang] = sums.get(lang, 0) + np.stack([n, n > 0, np.full(CELLS, 1)])
         names = list(sums)
         counts = [sums[n].astype("<i8").tobytes() for n in names]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.binary())], ["l", "n"])
 
     total: dict[str, np.ndarray] = {}
-    # One row per task and language, each of CELLS counts.
+    # One row per task and language: for each cell its count, the rows that have it, and all rows.
     for r in picked.select("l", "t").coalesce(FIT_TASKS).mapInArrow(count, "l string, n binary").toLocalIterator():
-        total[r["l"]] = total.get(r["l"], 0) + np.frombuffer(r["n"], "<i8")
+        total[r["l"]] = total.get(r["l"], 0) + np.frombuffer(r["n"], "<i8").reshape(3, CELLS)
     names = sorted(total)
     table = np.zeros((len(names) + 1, CELLS), np.float32)
     table[-1] = -np.log(CELLS)  # noise
     for i, n in enumerate(names):
-        c = total[n] + 0.2
+        count, having, rows_of = total[n]
+        c = np.where((having > 1) | (rows_of < ROWS_FOR_TWICE), count, 0) + 0.2
         table[i] = np.log(c / c.sum())
     return names, table
 
@@ -140,6 +147,7 @@ def judge(docs: DataFrame, text_col: str = "text", declared: Column | None = Non
     batch_rows(spark)
     none = F.lit(None).cast("string")
     declared, suffix, host = (F.lower(F.trim(c.cast("string"))) if c is not None else none for c in (declared, suffix, host))
+    declared = F.element_at(F.split(declared, "[-_]"), 1)
     declared = F.when(declared != "", declared)
     seed = seed if seed is not None else F.col(text_col)
     names, table = fit(docs, F.col(text_col).cast("string"), declared, seed)

@@ -62,3 +62,62 @@ def test_nothing_declared_and_empty(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [r["li_kept"] for r in language.judge(df, "text", F.col("lang")).collect()] == [False]
     assert language.judge(df.where("doc_id > 9"), "text", F.col("lang")).count() == 0
+
+
+def test_one_rows_trigrams_are_not_its_language(spark):
+    """The text model leaves out what only one sampled row has, so a declared language is not counted again as text."""
+    rows = [(i, "the cat sat on the mat again", "en") for i in range(20)] + [(100, "qzx jvw kkq", "en")] + [(200 + i, "der hund und die katze", "de") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, table = language.fit(df, F.col("text"), F.col("lang"), F.col("doc_id"))
+    seen = language._cells(np.frombuffer(b"the cat sat", np.uint8))
+    own = np.setdiff1d(language._cells(np.frombuffer(b"qzx jvw kkq", np.uint8)), language._cells(np.frombuffer(rows[0][1].encode(), np.uint8)))
+    assert names == ["de", "en"] and len(own) > 5
+    assert np.allclose(table[1][own], table[1].min()) and (table[1][seen] > table[1].min() + 1).all()
+    few, small = language.fit(df.where("doc_id IN (1, 2, 100)"), F.col("text"), F.col("lang"), F.col("doc_id"))
+    assert few == ["en"] and (small[0][own] > small[0].min()).all()
+
+
+def test_tags_count_by_their_first_subtag(spark):
+    rows = [(i, "the cat sat on the mat", ("en-us", "en_GB", "EN")[i % 3]) for i in range(30)] + [(50 + i, "der hund und die katze", "de-AT") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language.judge(df, "text", F.col("lang"), None, None, F.col("doc_id")).collect()
+    assert {(r["lang"], r["li_lang"]) for r in out} == {("en-us", "en"), ("en_GB", "en"), ("EN", "en"), ("de-AT", "de")}
+
+
+def test_fused_posterior_against_brute_force(spark):
+    """Counts, priors, declared evidence and the posterior recomputed row by row with the fitted text model."""
+    rnd = random.Random(4)
+    words = {"en": "the of and that was with".split(), "de": "der die und nicht mit auch".split()}
+    rows = []
+    for i in range(120):
+        lang = rnd.choice(["en", "de"])
+        text = " ".join(rnd.choice(words[lang]) for _ in range(rnd.choice([2, 3, 20])))
+        rows.append((i, text, rnd.choice([lang, lang, None, "de"]), rnd.choice(["uk", "de", None]), rnd.choice(["h0", "h1", "h2", None])))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, tld string, host string")
+    got = {r["doc_id"]: r for r in language.judge(df, "text", F.col("lang"), F.col("tld"), F.col("host"), F.col("doc_id")).collect()}
+    names, table = language.fit(df, F.col("text"), F.col("lang"), F.col("doc_id"))
+    k = len(names) + 1
+    like = {}
+    for i, text, *_ in rows:
+        cells = language._cells(np.frombuffer(text.encode(), np.uint8))
+        like[i] = table[:, cells].astype(float).sum(axis=1) * min(len(cells), language.EVIDENCE_TRIGRAMS) / len(cells)
+    noise = np.array([1.0] * (k - 1) + [language.NOISE_PRIOR])
+    text_p = {i: (w := np.exp(v - v.max()) * noise) / w.sum() for i, v in like.items()}
+    total = sum(text_p.values())
+    base = (total + 0.5) / (total.sum() + 0.5 * k)
+    add = lambda ids: sum((text_p[i] for i in ids), np.zeros(k))
+    shrink = lambda c, parent: (c + language.PRIOR_ROWS * parent) / (c.sum() + language.PRIOR_ROWS)
+    for i, _, lang, tld, host in rows:
+        prior = base
+        if tld is not None:
+            prior = shrink(add(r[0] for r in rows if r[3] == tld), base)
+        if host is not None:
+            prior = shrink(add(r[0] for r in rows if r[4] == host and r[3] == tld), prior)
+        score = like[i] - like[i].max() + np.log(prior)
+        if lang is not None:
+            c = add(r[0] for r in rows if r[2] == lang)
+            score += np.log((c + language.PRIOR_ROWS * c.sum() / total.sum()) / (total.sum() * base + language.PRIOR_ROWS))
+        post = np.exp(score - score.max())
+        post /= post.sum()
+        best = int(np.argmax(post[:-1]))
+        assert got[i]["li_lang"] == names[best] and abs(got[i]["li_posterior"] - post[best]) < 1e-4
