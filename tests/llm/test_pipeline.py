@@ -72,3 +72,15 @@ def test_packing(steps):
     for _, g in after.groupby("sequence_id"):
         g = g.sort_values("offset")
         assert g["length"].sum() <= 1024 and (g["offset"] == np.cumsum(g["length"]) - g["length"]).all()
+
+
+def test_rows_with_one_id_or_none_are_grouped_by_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, a), (None, a), (None, "only here"), (9, None), (9, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=key) == sorted(
+        [(1, a), (5, b), (7, c), (None, "only here"), (9, None), (9, ""), (None, None)], key=key)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.where("doc_id > 99"), SF).count() == 0
