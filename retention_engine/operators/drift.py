@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import QUANTILE_LEVELS, digitize, psi_class, psi_term, r6
+from ..functions.columns import PSI_ACT, QUANTILE_LEVELS, digitize, hash_uniform, psi_class, psi_term, r6
 from ..session import materialize
 from .quantiles import exact_quantiles
 from .ranking import checked_broadcast, with_row
@@ -190,27 +190,60 @@ def compare_scores(baseline: DataFrame, window: DataFrame, score: str = "score",
                F.round(r6("_rate") / F.col("rate_above_ref"), 3)).alias("queue_x"))
 
 
-def mahalanobis_share(baseline_df: DataFrame, window: DataFrame, features: Sequence[str],
-                      quantile: float = 0.99) -> DataFrame:
-    """Multivariate drift: share of window rows whose Mahalanobis distance from the baseline mean
-    exceeds the baseline's own ``quantile`` distance. Mean/covariance are one aggregate (k×k, bounded)."""
+def noise_floor(train: DataFrame, val: DataFrame, features: Sequence[str], id_col: str = "customer_id", repeats: int = 20, seed: str = "noise",
+                trigger: float = PSI_ACT) -> DataFrame:
+    """What nothing happening measures (D13): per feature the PSI of validation against train (the partition's noise), the
+    mean and the largest PSI of ``repeats`` random halves of train against the other half, and how many times the largest
+    of these noises the drift trigger is (null where there was none).
+
+    Bins are the frozen ones of train. A row's half in a repeat is decided by a hash of its id; all repeats and features
+    are counted in one aggregate of (feature, repeat, half, bin), made before the shuffle."""
+    base = numeric_baseline(train, features)
+    edges = checked_broadcast(base.select("feature", "edges"), "noise-edges")
+    half = lambda r: (hash_uniform(id_col, f"{seed}{r}") < 0.5).cast("int")
+    halves = train.select("*", F.array(*[half(r) for r in range(repeats)]).alias("_halves"))
+    long = long_numeric(halves, features, ids=["_halves"]).where(F.col("value").isNotNull()).join(edges, "feature")
+    binned = long.groupBy("feature", digitize("value", F.col("edges")).alias("bin"), "_halves").agg(F.count(F.lit(1)).alias("c"))
+    cells = binned.select("feature", "bin", "c", F.posexplode("_halves").alias("rep", "half")).groupBy("feature", "rep", "bin").agg(
+        F.sum(F.when(F.col("half") == 0, F.col("c")).otherwise(0)).alias("c0"), F.sum(F.when(F.col("half") == 1, F.col("c")).otherwise(0)).alias("c1"))
+    n = cells.groupBy("feature", "rep").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"))
+    # a bin that is empty in both halves adds nothing
+    psi = cells.join(n, ["feature", "rep"]).groupBy("feature", "rep").agg(r6(F.sum(psi_term(F.col("c0") / F.col("n0"), F.col("c1") / F.col("n1")))).alias("psi"))
+    noise = psi.groupBy("feature").agg(r6(F.avg("psi")).alias("halves_mean"), F.max("psi").alias("halves_max"))
+    split = compare_numeric(base, val, features).select("feature", F.col("psi").alias("split_psi"))
+    largest = F.greatest("halves_max", "split_psi")
+    return noise.join(split, "feature").select("feature", "split_psi", "halves_mean", "halves_max",
+                                               F.when(largest > 0, F.round(F.lit(trigger) / largest, 3)).alias("trigger_to_noise"))
+
+
+def whitening(baseline_df: DataFrame, features: Sequence[str]) -> tuple[list[float], list[list[float]]]:
+    """Mean and inverse covariance of the baseline's complete rows: one aggregate of k + k² numbers."""
     import numpy as np
     k = len(features)
-    aggs = [F.avg(c).alias(f"m_{i}") for i, c in enumerate(features)]
-    aggs += [F.covar_pop(a, b).alias(f"c_{i}_{j}") for i, a in enumerate(features) for j, b in enumerate(features)]
-    row = baseline_df.agg(*aggs).first()           # k + k² numbers
-    mu = np.array([row[f"m_{i}"] for i in range(k)])
-    cov = np.array([[row[f"c_{i}_{j}"] for j in range(k)] for i in range(k)])
-    inv = np.linalg.pinv(cov)
-
-    def dist(df):
-        centered = [F.col(c) - F.lit(float(mu[i])) for i, c in enumerate(features)]
-        expr = None
-        for i in range(k):
-            for j in range(k):
-                t = centered[i] * centered[j] * F.lit(float(inv[i, j]))
-                expr = t if expr is None else expr + t
-        return df.select(F.sqrt(expr).alias("d"))
-    cut = dist(baseline_df).agg(F.percentile_approx("d", quantile, 10000).alias("cut")).first()["cut"]
-    return dist(window).agg(F.count(F.lit(1)).alias("n"),
-                            r6(F.avg((F.col("d") > F.lit(cut)).cast("double"))).alias("share_unusual"))
+    rows = baseline_df.select(*[F.col(c).cast("double").alias(c) for c in features]).dropna()
+    row = rows.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(features)],
+                   *[F.covar_pop(a, b).alias(f"c_{i}_{j}") for i, a in enumerate(features) for j, b in enumerate(features)]).first()
+    cov = np.array([[row[f"c_{i}_{j}"] for j in range(k)] for i in range(k)], float)
+    return [float(row[f"m_{i}"]) for i in range(k)], np.linalg.pinv(cov).tolist()
+
+
+def mahalanobis(df: DataFrame, features: Sequence[str], mean: Sequence[float], inverse: Sequence[Sequence[float]]) -> DataFrame:
+    """(d, shares) for every complete row: its distance, and each feature's part of the squared distance (they add up to
+    it)."""
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in features]).dropna()
+    centred = [F.col(c) - F.lit(m) for c, m in zip(features, mean, strict=True)]
+    parts = [centred[i] * sum((centred[j] * F.lit(inverse[i][j]) for j in range(len(features))), F.lit(0.0)) for i in range(len(features))]
+    rows = rows.select(F.array(*parts).alias("shares"))
+    return rows.select(F.sqrt(F.greatest(F.aggregate("shares", F.lit(0.0), lambda a, x: a + x), F.lit(0.0))).alias("d"), "shares")
+
+
+def mahalanobis_share(baseline_df: DataFrame, window: DataFrame, features: Sequence[str], quantile: float = 0.99) -> DataFrame:
+    """Multivariate drift: share of window rows beyond the baseline's own ``quantile`` distance (exact), and what each
+    feature adds to their squared distance on average (``by_feature``, in the order of ``features``)."""
+    mean, inverse = whitening(baseline_df, features)
+    cut = exact_quantiles(mahalanobis(baseline_df, features, mean, inverse), "d", [quantile]).select(r6("quantile").alias("cut"))
+    rows = with_row(mahalanobis(window, features, mean, inverse), cut)
+    beyond = F.col("d") > F.col("cut")
+    mean_part = lambda i: r6(F.avg(F.when(beyond, F.col("shares")[i])))
+    return rows.agg(F.count(F.lit(1)).alias("n"), r6(F.avg(beyond.cast("double"))).alias("share_unusual"), F.max("cut").alias("cut"),
+                    F.array(*[F.struct(F.lit(c).alias("feature"), mean_part(i).alias("part")) for i, c in enumerate(features)]).alias("by_feature"))

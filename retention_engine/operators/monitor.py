@@ -133,21 +133,21 @@ def reconcile(predictions: DataFrame, outcomes: DataFrame, max_delay_days: int =
         & (F.col("outcome_ts") <= F.col("ts") + F.expr(f"make_interval(0, 0, 0, {max_delay_days})")))
 
 
-def read_json_log(lines: DataFrame, schema: T.StructType = LOG_SCHEMA, text: str = "value") -> DataFrame:
+def read_json_log(lines: DataFrame, schema: T.StructType = LOG_SCHEMA, text: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Parse JSON lines: blank lines skipped; lines that are not a JSON object (junk, arrays, scalars,
-    wrong types) flagged ``corrupt`` rather than dropped silently or exploded."""
+    wrong types) flagged ``corrupt`` rather than dropped silently or exploded. Columns ``keep`` of the lines stay."""
     nonblank = lines.where(F.trim(F.col(text)) != "")
-    s = schema.add("_corrupt_record", T.StringType())
+    s = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     is_obj = F.trim(F.col(text)).startswith("{")
     parsed = nonblank.select(
         F.when(is_obj, F.from_json(F.col(text), s, {"mode": "PERMISSIVE",
                                                     "columnNameOfCorruptRecord": "_corrupt_record"})).alias("r"),
-        is_obj.alias("_obj"))
-    return parsed.select("r.*", (~F.col("_obj") | F.col("r").isNull() | F.col("r._corrupt_record").isNotNull())
+        is_obj.alias("_obj"), *keep)
+    return parsed.select("r.*", *keep, (~F.col("_obj") | F.col("r").isNull() | F.col("r._corrupt_record").isNotNull())
                          .alias("corrupt")).drop("_corrupt_record")
 
 
-def to_json_records(log: DataFrame, log_features: bool = False) -> DataFrame:
+def to_json_records(log: DataFrame, log_features: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """One JSON line per record; absent optional fields are omitted (to_json drops nulls), scores
     rounded to 6; features only when explicitly enabled (privacy default)."""
     fields = [F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
@@ -157,4 +157,4 @@ def to_json_records(log: DataFrame, log_features: bool = False) -> DataFrame:
               F.when(F.col("score").isNotNull(), F.array(F.round("score", 6))).alias("scores")]
     if log_features and "features" in log.columns:
         fields.append(F.col("features"))
-    return log.select(F.to_json(F.struct(*fields)).alias("value"))
+    return log.select(F.to_json(F.struct(*fields)).alias("value"), *keep)

@@ -78,6 +78,17 @@ def running_totals(df: DataFrame, key: str, cols: Sequence[str] = (), by: Sequen
     return _drop_g(d, by)
 
 
+def ingestion_order(df: DataFrame, file: str = "_file", row: str = "_row") -> DataFrame:
+    """Add ``_position`` (from 0) and ``_rows`` of rows that carry the file and row number they were read from
+    (``_metadata.file_path`` and ``_metadata.row_index``). A row's place is its file's offset plus its number in the file,
+    so nothing is sorted; only the table of files (one row each) is added up. Files count in the order of their paths."""
+    files = df.groupBy(file).agg((F.max(row) + 1).alias("_n"))
+    offset = F.sum("_n").over(Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("_n").over(Window.orderBy(file).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    files = files.select(file, F.coalesce(offset, F.lit(0)).alias("_offset"), total.alias("_rows"))
+    return df.join(checked_broadcast(files, "files"), file).withColumn("_position", F.col("_offset") + F.col(row)).drop("_offset")
+
+
 def with_row(df: DataFrame, row_df: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (a scalar summary) to every row of ``df`` as literals.
 

@@ -305,7 +305,40 @@ def q_score_drift_sensitivity(spark, sf_dir):
 
 @query("multivariate_drift", ops=("D15",))
 def q_multivariate_drift(spark, sf_dir):
-    """Share of window rows beyond the baseline's 99th-percentile Mahalanobis distance (approximate cut)."""
+    """Share of window rows beyond the baseline's exact 99th-percentile Mahalanobis distance, and the part of each feature."""
     base, win = _pair(spark, sf_dir)
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     return D.mahalanobis_share(base, win, feats)
+
+
+_NOISE = ["tenure_days", "monthly_charges", "recency_days", "score"]
+
+
+def _noise_sql(repeats: int = 20) -> str:
+    long = " UNION ALL ".join(f"SELECT customer_id, split, '{c}' AS feature, {c}::DOUBLE AS value FROM sp WHERE {c} IS NOT NULL" for c in _NOISE)
+    return _split_sql().rstrip("\n") + f"""
+, l AS ({long}),
+  ed AS (SELECT feature, count(*) AS n, list_sort(list_distinct(list_transform(quantile_cont(value, {_D}), lambda x: round(x, 6)))) AS edges
+         FROM l WHERE split = 'train' GROUP BY 1),
+  b AS (SELECT l.*, len(list_filter(edges, lambda e: e <= value)) AS bin FROM l JOIN ed USING (feature)),
+  hf AS (SELECT b.*, r.rep, CAST(('0x' || substr(md5(CAST(customer_id AS VARCHAR) || '|noise' || r.rep), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 < 0.5 AS INTEGER) AS half
+        FROM b, (SELECT unnest(range(0, {repeats})) AS rep) r WHERE split = 'train'),
+  hc AS (SELECT feature, rep, bin, count(*) FILTER (half = 0) AS c0, count(*) FILTER (half = 1) AS c1 FROM hf GROUP BY ALL),
+  hn AS (SELECT feature, rep, sum(c0) AS n0, sum(c1) AS n1 FROM hc GROUP BY ALL),
+  hp AS (SELECT feature, rep, round(sum({_psi('c0 / n0', 'c1 / n1')}), 6) AS psi FROM hc JOIN hn USING (feature, rep) GROUP BY ALL),
+  k AS (SELECT feature, unnest(range(0, len(edges) + 1)) AS bin, n FROM ed),
+  tc AS (SELECT feature, bin, count(*) AS c FROM b WHERE split = 'train' GROUP BY ALL),
+  vc AS (SELECT feature, bin, count(*) AS c FROM b WHERE split = 'val' GROUP BY ALL), vn AS (SELECT feature, sum(c) AS n FROM vc GROUP BY 1),
+  s AS (SELECT k.feature, round(sum({_psi('round(coalesce(tc.c / k.n, 0.0), 6)', 'coalesce(vc.c / vn.n, 0.0)')}), 6) AS split_psi
+        FROM k JOIN vn USING (feature) LEFT JOIN tc ON tc.feature = k.feature AND tc.bin = k.bin LEFT JOIN vc ON vc.feature = k.feature AND vc.bin = k.bin GROUP BY 1)
+SELECT feature, any_value(split_psi) AS split_psi, round(avg(psi), 6) AS halves_mean, max(psi) AS halves_max,
+       CASE WHEN greatest(max(psi), any_value(split_psi)) > 0 THEN round(0.25 / greatest(max(psi), any_value(split_psi)), 3) END AS trigger_to_noise
+FROM hp JOIN s USING (feature) GROUP BY feature"""
+
+
+@query("drift_noise_floor", ops=("D13",), sql=_noise_sql())
+def q_drift_noise_floor(spark, sf_dir):
+    """PSI where nothing drifted: validation against train and 20 random halves of train, and the ratio of the trigger to
+    the largest of them, for three features and the score."""
+    sp = stratified_split(snapshot(spark, sf_dir))
+    return D.noise_floor(sp.where("split = 'train'"), sp.where("split = 'val'"), _NOISE)

@@ -7,8 +7,10 @@ from ..functions.columns import r6
 from ..operators import drift as D
 from ..operators import metrics as M
 from ..operators import monitor as MO
+from ..session import scratch_path
 from ..sources import adapters
-from .common import log
+from ..sources import logs
+from .common import log, snapshot
 from .registry import query
 from .sql import ctes
 from .sqlmetrics import ap_sql
@@ -256,3 +258,71 @@ def q_log_features_flatten(spark, sf_dir):
         F.collect_list(F.struct("customer_id", "segment", "tenure_days")).alias("features"))   # ≤ 25 per request
     flat = MO.flatten_features(req)
     return flat.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("tenure_days")).alias("mean_tenure"))
+
+
+@query("log_files", ops=("IO3", "IO4", "IO5"), sql=LOG + """
+, junk AS (SELECT date_trunc('day', ts)::DATE AS date, count(*) FILTER (request_id % 103 = 0) + 2 * count(*) FILTER (request_id % 107 = 0) AS corrupt
+           FROM inference_log GROUP BY 1)
+SELECT date_trunc('day', ts)::DATE AS date, count(*) AS records, count(DISTINCT request_id) AS requests, any_value(corrupt) AS corrupt,
+       count(*) FILTER (score IS NOT NULL) AS with_scores, CAST(coalesce(sum(n_rows), 0) AS BIGINT) AS n_rows, round(sum(score), 4) AS sum_scores,
+       0 AS with_features, round(max(latency_ms), 6) AS max_latency
+FROM inference_log JOIN junk ON junk.date = date_trunc('day', ts)::DATE GROUP BY 1""")
+def q_log_files(spark, sf_dir):
+    """The log appended to dated files of JSON lines, beside lines of another writer, and read back: records by day, those
+    that cannot be read, and none with features although the log has them (the mask is the default)."""
+    lg = log(spark, sf_dir).withColumn("features", F.array(F.struct(F.col("user_id").alias("customer_id"), F.lit("x").alias("segment"))))
+    path = scratch_path(spark, "log-files")
+    for part in ("status_code < 400", "status_code >= 400"):                       # two writers, one after the other
+        logs.append_log(lg.where(part), path)
+    rid, date = F.col("request_id"), F.to_date("ts").alias("date")
+    other = lg.select(date, F.explode(F.when(rid % 103 == 0, F.array(F.concat(F.lit("INFO: served "), rid.cast("string")), F.lit("  ")))
+                                      .when(rid % 107 == 0, F.array(F.lit("[1, 2]"), F.lit('{"status_code": ')))).alias("value"))
+    both = lg.where((rid % 103 == 0) & (rid % 107 == 0)).select(date, F.explode(F.array(F.lit("[1, 2]"), F.lit('{"status_code": '))).alias("value"))
+    other.unionByName(both).write.mode("append").partitionBy("date").text(path)
+    got = logs.read_log(spark, path, logs.with_features(lg.schema["features"].dataType.elementType))
+    ok = ~F.col("corrupt")
+    return got.groupBy("date").agg(
+        F.count_if(ok).alias("records"), F.count_distinct(F.when(ok, F.col("request_id"))).alias("requests"), F.count_if("corrupt").alias("corrupt"),
+        F.count_if(ok & F.col("scores").isNotNull()).alias("with_scores"), F.coalesce(F.sum(F.when(ok, F.col("n_rows"))), F.lit(0)).cast("long").alias("n_rows"),
+        F.round(F.sum(F.when(ok, F.col("scores")[0])), 4).alias("sum_scores"), F.count_if(F.col("features").isNotNull()).cast("int").alias("with_features"),
+        r6(F.max(F.when(ok, F.col("latency_ms")))).alias("max_latency"))
+
+
+_LOGGED_NUM, _LOGGED_CAT = ["tenure_days", "monthly_charges", "recency_days"], ["segment", "region"]
+
+
+def _logged_sql() -> str:
+    num = " UNION ALL ".join(f"SELECT balance_sign AS w, '{c}' AS feature, {c}::DOUBLE AS v FROM snapshot WHERE {c} IS NOT NULL" for c in _LOGGED_NUM)
+    cat = " UNION ALL ".join(f"SELECT balance_sign AS w, '{c}' AS feature, {c} AS v FROM snapshot WHERE {c} IS NOT NULL" for c in _LOGGED_CAT)
+    return ctes("snapshot") + f"""
+, l AS ({num}), c AS ({cat}),
+  ed AS (SELECT feature, count(*) AS n, list_sort(list_distinct(list_transform(quantile_cont(v, {_D}), lambda x: round(x, 6)))) AS edges FROM l WHERE w = 'pos' GROUP BY 1),
+  b AS (SELECT w, feature, len(list_filter(edges, lambda e: e <= v)) AS bin, count(*) AS c FROM l JOIN ed USING (feature) GROUP BY ALL),
+  nn AS (SELECT feature, sum(c) AS n FROM b WHERE w = 'neg' GROUP BY 1),
+  k AS (SELECT feature, unnest(range(0, len(edges) + 1)) AS bin, n FROM ed),
+  pn AS (SELECT k.feature, 'numeric' AS kind, any_value(nn.n) AS n, round(sum({_psi('round(coalesce(x.c / k.n, 0.0), 6)', 'coalesce(y.c / nn.n, 0.0)')}), 6) AS psi
+         FROM k JOIN nn USING (feature) LEFT JOIN b x ON x.w = 'pos' AND x.feature = k.feature AND x.bin = k.bin
+         LEFT JOIN b y ON y.w = 'neg' AND y.feature = k.feature AND y.bin = k.bin GROUP BY 1),
+  cv AS (SELECT w, feature, v, count(*) AS c FROM c GROUP BY w, feature, v), cc AS (SELECT *, sum(c) OVER (PARTITION BY w, feature) AS n FROM cv),
+  pc AS (SELECT feature, 'categorical' AS kind, max(yn) AS n, round(sum({_psi('coalesce(e, 0.0)', 'coalesce(a, 0.0)')}), 6) AS psi
+         FROM (SELECT coalesce(x.feature, y.feature) AS feature, round(x.c / x.n, 6) AS e, y.c / y.n AS a, y.n AS yn
+               FROM (SELECT * FROM cc WHERE w = 'pos') x FULL JOIN (SELECT * FROM cc WHERE w = 'neg') y ON x.feature = y.feature AND x.v = y.v) GROUP BY 1)
+SELECT feature, kind, psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'investigate' ELSE 'act' END AS class, CAST(n AS BIGINT) AS n
+FROM (SELECT * FROM pn UNION ALL BY NAME SELECT * FROM pc)"""
+
+
+@query("logged_feature_drift", ops=("L7", "D9", "IO3", "IO5"), sql=_logged_sql())
+def q_logged_feature_drift(spark, sf_dir):
+    """Requests of customers with a negative balance, logged with their features (the flag is on), read from the files and
+    compared with the frozen baselines of the customers with a positive one."""
+    s = snapshot(spark, sf_dir)
+    base, seen = s.where("balance_sign = 'pos'"), s.where("balance_sign = 'neg'")
+    numeric, categorical = D.numeric_baseline(base, _LOGGED_NUM), D.category_baseline(base, _LOGGED_CAT)
+    record = F.struct(*_LOGGED_NUM, *_LOGGED_CAT)
+    requests = seen.groupBy(F.floor(F.col("customer_id") / 25).alias("request_id")).agg(F.collect_list(record).alias("features"))     # up to 25 a request
+    requests = requests.select("request_id", F.lit("2024-01-31 12:00:00").cast("timestamp").alias("ts"), F.lit("predict").alias("route"), F.lit(200).alias("status_code"),
+                               F.lit(1.0).alias("latency_ms"), F.lit("A").alias("artifact"), F.size("features").alias("n_rows"), F.lit(0.5).alias("score"), "features")
+    path = scratch_path(spark, "log-features")
+    logs.append_log(requests, path, log_features=True)
+    read = logs.read_log(spark, path, logs.with_features(requests.schema["features"].dataType.elementType))
+    return logs.feature_drift(read, numeric, categorical)

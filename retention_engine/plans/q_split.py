@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from ..operators import split as SP
 from ..operators.bootstrap import bootstrap_ap
-from ..operators.ranking import running_totals
+from ..operators.ranking import ingestion_order, running_totals
+from ..sources.tables import load
 from .common import snapshot
 from .registry import query
 from .sql import ctes, u
@@ -96,6 +97,18 @@ def q_order_bias(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"), F.round(F.avg(F.col("y").cast("double")), 6).alias("rate"))
 
 
+@query("order_bias_ingestion", ops=("S9", "IO1"), sql=ctes("snapshot") + """
+, c AS (SELECT c_custkey, row_number() OVER () AS rn, count(*) OVER () AS n FROM customer)
+SELECT CAST(floor((rn - 1) * 10 / n) AS INTEGER) AS decile, count(*) AS rows, round(avg(CAST(y AS DOUBLE)), 6) AS rate
+FROM c JOIN snapshot ON customer_id = c_custkey GROUP BY 1""")
+def q_order_bias_ingestion(spark, sf_dir):
+    """Target rate by decile of the order in which the customer rows stand in their files."""
+    rows = ingestion_order(load(spark, sf_dir, "customer").select("c_custkey", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")))
+    rows = rows.join(snapshot(spark, sf_dir).select("customer_id", "y"), F.col("customer_id") == F.col("c_custkey"))
+    return rows.groupBy(F.floor(F.col("_position") * 10 / F.col("_rows")).cast("int").alias("decile")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg(F.col("y").cast("double")), 6).alias("rate"))
+
+
 @query("bootstrap_ap_ci", ops=("M16", "S5"))
 def q_bootstrap_ap_ci(spark, sf_dir):
     """95 % percentile interval of AP from 2000 bootstrap replicates (Poisson resampling of the score

@@ -46,6 +46,10 @@ def get_session(master: str | None = None, app: str = "retention_engine",
     return spark
 
 
+#: Folders made here for local sessions without a configured one, by application.
+_local_folders: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
@@ -57,8 +61,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
-        d = tempfile.mkdtemp(prefix="re-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:     # a setting of the core: a running session cannot be given it
+            _local_folders[app] = tempfile.mkdtemp(prefix="re-ckpt-")
+        d = _local_folders[app]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

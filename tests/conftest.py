@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,7 +14,5 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from retention_engine.session import get_session
     s = get_session("local[4]", shuffle_partitions=8, extra={"spark.driver.memory": "6g"})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="re-test-ckpt-"))
     yield s
     s.stop()
