@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..operators import contract as CO
+from ..operators import ensembles as EN
 from ..operators import fairness as FA
+from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import search as SR
 from ..operators import selection as SE
@@ -329,10 +331,7 @@ def q_selector_leakage_audit(spark, sf_dir):
 
 def _encoded_whole(rows):
     """Rows encoded by statistics of their own, and the names of the slots."""
-    from ..operators.prep import Preprocessor, build_pipeline
-    stages = build_pipeline(Preprocessor(), ZERO, NUMS, CATS).getStages()[:2]
-    from pyspark.ml import Pipeline
-    model = Pipeline(stages=stages).fit(rows)
+    model = _encoder(rows)
     return model.transform(rows), model.stages[0].feature_names()
 
 
@@ -361,3 +360,77 @@ def q_selector_topk(spark, sf_dir):
     order = sorted(kept, key=lambda j: (f[j] is None, -(f[j] or 0.0), j))
     return spark.createDataFrame([(names[j], f[j], i + 1) for i, j in enumerate(order)], "feature string, f_stat double, place long").withColumn(
         "f_stat", F.round("f_stat", 4))
+
+
+# ---- boosting settings, network shapes, seeds -------------------------------------------------------------
+
+@query("boosting_settings", ops=("M-E",))
+def q_boosting_settings(spark, sf_dir):
+    """The three boosting settings fitted on 85 % of train; the tuned one is stopped by the average precision of its stages
+    on the other 15 %. Rounds kept, best stage score and the metrics on validation."""
+    tr, va = _split(spark, sf_dir)
+    parts = holdout_split(tr, 0.15, LABEL)
+    encoder = _encoder(parts.where("part = 'fit'"))
+    vectors = lambda d: encoder.transform(d).select("features", F.col(LABEL).cast("double").alias("label"))
+    fit, hold, val = vectors(parts.where("part = 'fit'")), vectors(parts.where("part <> 'fit'")), vectors(va)
+    out = None
+    for setting in EN.BOOSTING:
+        got = EN.fit_boosting(setting, fit, hold)
+        scored = MD.score(got.model, val).withColumnRenamed("probability", "p")
+        row = with_row(M.average_precision(scored, "p", "label"), M.point_metrics(scored, "p", "label", 0.5).select("brier"))
+        row = row.select(F.lit(setting).alias("setting"), F.lit(len(got.scores)).alias("fitted"), F.lit(got.rounds).alias("kept"),
+                         F.lit(got.scores[got.rounds - 1]).alias("holdout_ap"), "ap", "brier")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+# The widths of hidden layers that are compared, and the seeds.
+SHAPES = [(), (8,), (16,), (32,), (16, 16)]
+SEEDS = [42, 7, 123, 2024, 31337]
+
+
+@query("mlp_shapes", ops=("M-F", "V7", "V6"))
+def q_mlp_shapes(spark, sf_dir):
+    """Five network shapes on the same 5 × 3 folds, from none to two hidden layers, and which one the 1-SE rule takes
+    (fewest layers, then fewest units)."""
+    table = SR.table(SR.run(_encoded(spark, sf_dir), [{"kind": "mlp", "hidden": list(h)} for h in SHAPES], spark))
+    names = spark.createDataFrame([(i, str(list(h)), len(h), sum(h)) for i, h in enumerate(SHAPES)], "candidate long, hidden string, layers int, units int")
+    table = table.join(names, "candidate")
+    chosen = SR.one_se(table, [F.col("layers").asc(), F.col("units").asc()]).first()["candidate"]
+    return SR.rounded(table.select("hidden", "mean", "std", "train_mean", "gap", F.col("k").alias("folds"), (F.col("candidate") == chosen).alias("chosen")))
+
+
+@query("seed_variance", ops=("S7", "V14", "M-F"))
+def q_seed_variance(spark, sf_dir):
+    """One network from five seeds on the same 5 × 3 folds: what the seed moves the mean by against what the folds do."""
+    results = SR.run(_encoded(spark, sf_dir), [{"kind": "mlp", "hidden": [16], "seed": s} for s in SEEDS], spark)
+    per = SR.table(results)
+    return SR.rounded(per.agg(F.count(F.lit(1)).alias("seeds"), F.avg("mean").alias("mean"), F.stddev_samp("mean").alias("seed_std"),
+                              F.avg("std").alias("fold_std"), F.min("mean").alias("worst_seed"), F.max("mean").alias("best_seed")))
+
+
+@query("model_variance", ops=("M-N", "S7", "S5"))
+def q_model_variance(spark, sf_dir):
+    """How far a validation customer's score moves when only the draw changes: a network from five seeds, LR from the same
+    rows five times (convex: nothing moves), and LR on ten bootstrap resamples."""
+    tr, va = _split(spark, sf_dir)
+    encoder = _encoder(tr)
+    fit, val = (encoder.transform(d).select("customer_id", "features", F.col(LABEL).cast("double").alias("label")) for d in (tr, va))
+    fit = fit.persist()
+    n, width = fit.count(), len(encoder.stages[0].feature_names())
+    lr = lambda data, **kw: MD.classifier("lr", n, label="label", tol=1e-6, **kw).fit(data)
+    families = {
+        "network, seeds": [MD.classifier("mlp", n, label="label", seed=s, layers=[width, 16, 2]).fit(fit) for s in SEEDS],
+        "lr, repeated": [lr(fit) for _ in SEEDS],
+        "lr, resamples": [lr(fit.withColumn("w", EN.bootstrap_weight("customer_id", b)).where("w > 0"), weight_col="w") for b in range(10)]}
+    out = None
+    for name, models in families.items():
+        row = EN.spread(EN.score_all(models, val), 0.29).select(F.lit(name).alias("family"), F.lit(len(models)).alias("models"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _encoder(rows):
+    from pyspark.ml import Pipeline
+    from ..operators.prep import Preprocessor, build_pipeline
+    return Pipeline(stages=build_pipeline(Preprocessor(), ZERO, NUMS, CATS).getStages()[:2]).fit(rows)
