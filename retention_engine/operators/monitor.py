@@ -45,7 +45,8 @@ def service_totals(log: DataFrame, baseline_artifact: str | None = None, by: Seq
 
 
 def status_histogram(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return log.groupBy(*by, "status_code").agg(F.count(F.lit(1)).alias("n"))
+    """(by…, status_code, n), the most common status of each group first."""
+    return log.groupBy(*by, "status_code").agg(F.count(F.lit(1)).alias("n")).orderBy(*by, F.desc("n"), "status_code")
 
 
 def latency_percentiles(log: DataFrame, by: Sequence[str] = (), value: str = "latency_ms") -> DataFrame:

@@ -39,12 +39,13 @@ def q_lr_validation(spark, sf_dir):
 
 @query("model_families", ops=("M-A", "M-B", "M-C", "M-D", "M-E", "M-F", "M-G"))
 def q_model_families(spark, sf_dir):
-    """Prior, LR, LR on an 85 % budget, unpruned tree, forest, boosting and an MLP on the same split."""
+    """Prior, LR, LR on an 85 % budget, unpruned tree, both forests, boosting and an MLP on the same split."""
     tr, va = _split(spark, sf_dir)
     budget = holdout_split(tr, 0.15, LABEL).where("part = 'fit'").drop("part")
     d = len(MD.fit_pipeline(tr, "prior", ZERO, NUMS, CATS, label=LABEL).stages[-3].feature_names())
     specs = [("prior", tr, {}), ("lr", tr, {}), ("lr_budget85", budget, {}), ("tree", tr, {}),
-             ("lr_balanced", MD.balanced_weights(tr, LABEL), {"weight_col": "weight"}), ("rf", tr, {"numTrees": 300}), ("gbt", tr, {}), ("mlp_16", tr, {"layers": [d, 16, 2]})]
+             ("lr_balanced", MD.balanced_weights(tr, LABEL), {"weight_col": "weight"}), ("rf", tr, {"numTrees": 300}),
+             ("rf_unregularised", tr, {"numTrees": 300, "minInstancesPerNode": 1}), ("gbt", tr, {}), ("mlp_16", tr, {"layers": [d, 16, 2]})]
     rows = []
     for name, data, kw in specs:
         kind = name.split("_")[0]
@@ -224,16 +225,18 @@ def q_contract_from_pipeline(spark, sf_dir):
     return out
 
 
-@query("unawareness_audit", ops=("Q7", "Q8"))
+@query("unawareness_audit", ops=("Q7", "Q8", "G1"))
 def q_unawareness_audit(spark, sf_dir):
-    """Drop the sensitive attribute (region), refit, re-audit recall disparity across regions."""
+    """Drop the sensitive attribute (region), refit, re-audit recall disparity across regions, and put both models before
+    the same promotion gate."""
     tr, va = _split(spark, sf_dir)
     out = []
     for name, ex in (("aware", []), ("unaware", ["region"])):
         m = MD.fit_pipeline(tr, "lr", ZERO, NUMS, CATS, label=LABEL, exclude=ex)
         s = MD.score(m, va).withColumn("y", F.col(LABEL))
         d = FA.disparity(FA.group_rates(s, ["region"], 0.29, score="probability"))
-        out.append(d.withColumn("variant", F.lit(name)))
+        gated = SE.gate(MD.validation_metrics(m, va, LABEL)).select("ap", "brier", "approved", "reason")
+        out.append(with_row(d.withColumn("variant", F.lit(name)), gated))
     return out[0].unionByName(out[1])
 
 
