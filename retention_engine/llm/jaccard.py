@@ -8,12 +8,15 @@ sets, so no pair is lost).
 
 Equal sets are collapsed first. Sets that share a prefix n-gram are candidates if
   length      the smaller has at least t times the larger's size,
-  position    the n-grams shared by the prefixes and all that lies behind a prefix would be enough,
-  suffix      the overlap left when both sets are cut at the same hashes (the sum of the smaller parts) is enough.
-Each pair is verified once, on the whole sets: the overlap is counted, and 100 * overlap >= 100t * union decides.
+  position    at their first shared n-gram, which stands at i in one and j in the other, the lesser of |x| - i and
+              |y| - j is enough: all else that they share lies behind it in both,
+  suffix      few enough n-grams can be in one of both only. A set's PARITY_BITS parities (whether an odd number of its
+              hashes falls to each bit) differ in at most as many bits as there are such n-grams.
+All three are conditions of the join itself, so only pairs that pass leave it. Each pair is verified once, on the whole
+sets, cut at the same hashes first: the overlap is counted, and 100 * overlap >= 100t * union decides.
 
 Groups of near copies are not joined with themselves. First, in ``ROUNDS`` rounds, each set is verified against one
-partner: of the leaders of its prefix n-grams the most frequent that passes. A leader is one set for each n-gram, in
+partner: of the leaders of its prefix n-grams that pass the filters the one whose parities differ least. A leader is one set for each n-gram, in
 the first round the one with the largest part of its prefix shared (what near copies were copied from), later one
 by hash. The links found are contracted to components, and n-grams with sets of one component only are done with.
 Only then are the remaining pairs formed, of sets that share a prefix n-gram but not a component, and verified. A
@@ -41,6 +44,8 @@ from .common import batch_rows, components, leave_memos, mix, shingles, slices,
 NGRAM, PERCENT = 4, 85
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
+PARITY_BITS = 256
+PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
 #: Texts to verify whose ids are broadcast to pick them out; more are picked by a shuffled join.
 BROADCAST_IDS = 1_000_000
 ROUNDS = 2
@@ -78,9 +83,22 @@ def _node(s: np.ndarray) -> int:
     return int(mix(mix(x[:1]) + x[1:]).view(np.int64)[0])
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of PARITY_BITS bits (as longs) for each set: whether an odd number of its hashes falls to the bit."""
+    n = len(sets)
+    at = np.repeat(np.arange(n), [len(s) for s in sets]) * PARITY_BITS
+    bit = (np.concatenate([np.zeros(0, np.uint64), *sets]) % np.uint64(PARITY_BITS)).astype(np.int64)
+    odd = np.bincount(at + bit, minlength=n * PARITY_BITS).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(n, PARITY_BITS), axis=1).view(np.int64)
+
+
+READ_SCHEMA = f"doc_id long, n_shingles long, node long, {', '.join(f'{p} long' for p in PARITIES)}, part int, counts binary"
+
+
 def _read(ngram: int):
-    """A row per text (doc_id, n_shingles, node), and at a task's end the frequencies of its n-grams' cells."""
+    """A row per text (doc_id, n_shingles, node, parities), and at a task's end the frequencies of its n-grams' cells."""
     step = (1 << SKETCH_BITS) // SKETCH_PARTS
+    names = ["doc_id", "n_shingles", "node", *PARITIES, "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leave_memos()
@@ -91,12 +109,12 @@ def _read(ngram: int):
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["doc_id", "n_shingles", "node", "part", "counts"])
+                 *(pa.array(p) for p in parities(sets).T.copy()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         some = [i for i in range(SKETCH_PARTS) if total[i * step:(i + 1) * step].any()]
         n = len(some)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64())] * 3 + [pa.array(some, pa.int32()), pa.array([total[i * step:(i + 1) * step].tobytes() for i in some], pa.binary())],
-            ["doc_id", "n_shingles", "node", "part", "counts"])
+            [pa.nulls(n, pa.int64())] * (len(names) - 2) + [
+                pa.array(some, pa.int32()), pa.array([total[i * step:(i + 1) * step].tobytes() for i in some], pa.binary())], names)
     return run
 
 
@@ -126,7 +144,7 @@ def prefix_of(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(rank: np.ndarray, ngram: int, percent: int):
-    """(gram, node, size) for the prefix of every set; a task sends equal sets once."""
+    """(gram, node, size, at) for the prefix of every set, ``at``: the n-gram's place in it; a task sends equal sets once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
@@ -140,7 +158,8 @@ def _prefixes(rank: np.ndarray, ngram: int, percent: int):
             n = np.array([len(g) for g in grams[1:]], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), n)),
-                 pa.array(np.repeat(np.array(sizes, np.int32), n))], ["gram", "node", "size"])
+                 pa.array(np.repeat(np.array(sizes, np.int32), n)),
+                 pa.array(np.concatenate([np.zeros(0, np.int32), *(np.arange(x, dtype=np.int32) for x in n)]))], ["gram", "node", "size", "at"])
     return run
 
 
@@ -184,24 +203,32 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, ngram: int, perc
     return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(decide, "a long, b long")
 
 
-def _lengths(s: Column, t: Column, percent: int) -> Column:
-    return F.least(s, t) * 100 >= F.greatest(s, t) * percent
+def _need(s: Column, t: Column, percent: int) -> Column:
+    """The overlap at which sets of these sizes link."""
+    return F.ceil(percent * (s + t) / F.lit(100 + percent))
+
+
+def _differ(one: str, two: str) -> Column:
+    """How many parities differ; ``one`` and ``two`` are the prefixes of the columns' names."""
+    bits = [F.bit_count(F.col(f"{one}{p}").bitwiseXOR(F.col(f"{two}{p}"))) for p in PARITIES]
+    return sum(bits[1:], bits[0])
+
 
+def _possible(one: str, two: str, percent: int) -> Column:
+    """Length and suffix filter on two sets."""
+    s, t = F.col(f"{one}size"), F.col(f"{two}size")
+    lengths = F.least(s, t) * 100 >= F.greatest(s, t) * percent
+    return lengths & (_differ(one, two) <= s + t - 2 * _need(s, t, percent))
 
-def _possible(size: str, other: str, shared: str, percent: int) -> Column:
-    """Length and positional filter on a pair whose prefixes share so many n-grams.
 
-    Let x be the set whose prefix ends earlier in the total order. Shared n-grams up to there are in both prefixes;
-    all others lie behind the prefix of x, where it has ceil(t |x|) - 1 n-grams.
-    """
-    s, t = F.col(size), F.col(other)
-    need = F.ceil(percent * (s + t) / F.lit(100 + percent))
-    behind = F.ceil(percent * F.greatest(s, t) / F.lit(100)) - 1
-    return _lengths(s, t, percent) & (F.col(shared) + behind >= need)
+def _in_place(one: str, two: str, percent: int) -> Column:
+    """Positional filter on an n-gram that two sets share."""
+    s, t = F.col(f"{one}size"), F.col(f"{two}size")
+    return F.least(s - F.col(f"{one}at"), t - F.col(f"{two}at")) >= _need(s, t, percent)
 
 
 def _mixed(shared: DataFrame, every: DataFrame) -> DataFrame:
-    """Entries (gram, node, size, c, main) of the n-grams that sets of several components hold; ``main``: the largest."""
+    """Entries (gram, node, size, at, parities, c, main) of the n-grams that sets of several components hold; ``main``: the largest."""
     placed = shared.join(every, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     placed = materialize(placed, "jaccard-placed")
     main = placed.groupBy("gram", "c").count().groupBy("gram").agg(
@@ -210,21 +237,21 @@ def _mixed(shared: DataFrame, every: DataFrame) -> DataFrame:
 
 
 def _partners(mixed: DataFrame, turn: int, percent: int, done: DataFrame | None) -> DataFrame:
-    """One pair (a, b) for each node, with the leader of another component that it shares most n-grams with."""
+    """One pair (a, b) for each node, with the leader of another component whose parities differ least."""
     if turn == 0:
         part = mixed.groupBy("node", "size").agg((F.count("*") / F.col("size")).alias("w")).select("node", "w")
         ranked = mixed.join(part, "node")
     else:
         ranked = mixed.withColumn("w", F.xxhash64("node", F.lit(turn)))
-    leader = ranked.groupBy("gram").agg(F.max(F.struct("w", "node", "c", "size")).alias("l")).select(
-        "gram", F.col("l.node").alias("leader"), F.col("l.c").alias("lc"), F.col("l.size").alias("other"))
+    leader = ranked.groupBy("gram").agg(F.max(F.struct("w", "node", "c", "size", "at", *PARITIES)).alias("l")).select("gram", "l")
     leader = materialize(leader, f"jaccard-leaders-{turn}")
-    found = mixed.join(leader, "gram").where("c <> lc").groupBy("node", "size", "leader", "other").count()
-    found = found.where(_possible("size", "other", "count", percent)).select(
-        "node", "leader", "count", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    found = mixed.alias("x").join(leader, "gram").where(
+        (F.col("c") != F.col("l.c")) & _possible("x.", "l.", percent) & _in_place("x.", "l.", percent))
+    found = found.select("node", F.col("l.node").alias("leader"), _differ("x.", "l.").alias("differ"),
+                         F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b"))
     if done is not None:
         found = found.join(done, ["a", "b"], "left_anti")
-    best = found.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("count", "leader")).alias("p"))
+    best = found.groupBy("node").agg(F.min_by(F.struct("a", "b"), F.struct("differ", "leader")).alias("p"))
     return best.select("p.a", "p.b").distinct()
 
 
@@ -233,17 +260,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id) for every row; sets link at ``percent`` hundredths of Jaccard similarity."""
     batch_rows(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    read = materialize(rows.mapInArrow(_read(ngram), "doc_id long, n_shingles long, node long, part int, counts binary"), "jaccard-read")
-    narrow = read.where("part IS NULL").select("doc_id", "n_shingles", "node")
+    read = materialize(rows.mapInArrow(_read(ngram), READ_SCHEMA), "jaccard-read")
+    narrow = read.where("part IS NULL").select("doc_id", "n_shingles", "node", *PARITIES)
     reps = materialize(narrow.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").cast("int").alias("size")), "jaccard-nodes")
+        F.min("doc_id").alias("rep"), F.max("n_shingles").cast("int").alias("size"), *(F.max(p).alias(p) for p in PARITIES)), "jaccard-nodes")
     rank = _frequencies(read)
     prefix = materialize(rows.where("doc_id IS NOT NULL").select("text").mapInArrow(
-        _prefixes(rank, ngram, percent), "gram long, node long, size int"), "jaccard-prefixes")
+        _prefixes(rank, ngram, percent), "gram long, node long, size int, at int"), "jaccard-prefixes")
     often = prefix.groupBy("gram").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("gram")
     # Sums are written before they are joined: a join straight on two shuffles is one that Spark can split.
     shared = materialize(prefix.join(materialize(often, "jaccard-often"), "gram"), "jaccard-twice")
-    shared = materialize(shared.distinct(), "jaccard-shared")
+    shared = materialize(shared.distinct(), "jaccard-once")
+    shared = materialize(shared.join(reps.select("node", *PARITIES), "node"), "jaccard-shared")
 
     links = pairs = None
     every = docs.sparkSession.createDataFrame([], "node long, component long")
@@ -257,15 +285,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = new if pairs is None else pairs.unionByName(new)
         every = components(links, "a", "b", "jaccard")
 
-    # Then all pairs that share an n-gram and no component, each once for every n-gram that both prefixes hold.
+    # Then all pairs that share an n-gram and no component and pass the filters, once for each n-gram where they do.
     mixed = _mixed(shared, every)
     x, y = mixed.where("c <> main").alias("x"), mixed.alias("y")
     once = (F.col("y.c") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     rest = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") != F.col("y.c")) & once
-                  & _lengths(F.col("x.size"), F.col("y.size"), percent)).select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
-        F.least("x.size", "y.size").alias("s"), F.greatest("x.size", "y.size").alias("t"))
-    rest = rest.groupBy("a", "b", "s", "t").count().where(_possible("s", "t", "count", percent)).select("a", "b")
+                  & _possible("x.", "y.", percent) & _in_place("x.", "y.", percent)).select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     if pairs is not None:
         rest = rest.join(pairs, ["a", "b"], "left_anti")
     more = _verify(rest, rows, reps, ngram, percent, "rest")
@@ -276,6 +302,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lowest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(lowest, "component").select("node", "component_id")
     lone = F.when(F.col("node").isNotNull() & F.col("doc_id").isNotNull(), F.col("node"))
-    keyed = narrow.withColumn("k", F.coalesce(lone, F.xxhash64("doc_id", F.lit("alone")))).withColumn("ok", lone.isNotNull())
+    keyed = narrow.drop(*PARITIES).withColumn("k", F.coalesce(lone, F.xxhash64("doc_id", F.lit("alone")))).withColumn("ok", lone.isNotNull())
     out = keyed.join(named.withColumnRenamed("node", "k"), "k", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
