@@ -127,21 +127,22 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def pack(pieces: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a table of pieces (``doc_id``, ``piece``, ``length``, any others)."""
-    made = materialize(pieces, "pieces")
+    # Chunks are drawn from a number of the row's own: rows may repeat an id, or have none.
+    made = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     sizes = made.groupBy("length").count().collect()  # at most seq_len rows
     counts = np.zeros(seq_len + 1, np.int64)
     for r in sizes:
         counts[r["length"]] = r["count"]
     at = places(minimum_bin_slack(counts, seq_len))
     chunks = F.array(*[F.lit(max(LEAST_CHUNKS, -(-int(c) // CHUNK_ROWS))) for c in counts])
-    slot = made.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "piece"), chunks[F.col("length")]))
+    slot = made.withColumn("_chunk", F.pmod(F.xxhash64("_row"), chunks[F.col("length")]))
     before = (slot.groupBy("length", "_chunk").count().withColumn("_before", F.sum("count").over(
         Window.partitionBy("length").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)))
         .select("length", "_chunk", F.coalesce("_before", F.lit(0)).alias("_before")))
-    nth = F.row_number().over(Window.partitionBy("length", "_chunk").orderBy("doc_id", "piece"))
+    nth = F.row_number().over(Window.partitionBy("length", "_chunk").orderBy("doc_id", "piece", "_row"))
     # A piece's number counts the pieces of its length in earlier chunks, then those before it in its own.
     numbered = (slot.withColumn("_nth", nth).join(before, ["length", "_chunk"])
-                .withColumn("_number", F.col("_nth") - 1 + F.col("_before")).drop("_chunk", "_nth", "_before"))
+                .withColumn("_number", F.col("_nth") - 1 + F.col("_before")).drop("_row", "_chunk", "_nth", "_before"))
     bits = 45
     keys = (at["length"] << bits) | at["first"]
 

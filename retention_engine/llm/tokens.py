@@ -4,11 +4,13 @@ The vocabulary's pre-tokenizer begins a new unit at a single space or line feed
 sides, so the ids of a text are the ids of its pieces between them, one after another (a piece keeps the space or
 line feed before it). Short pieces repeat, whole texts rarely do: each worker keeps the ids of the short pieces it
 has met (a bounded memo, cut back to the shortest when full) and hands only new ones to the tokenizers library. Texts where that law need not
-hold (runs of white space, white space at an end, any other white space) are encoded whole.
+hold (runs of white space, white space at an end, any other white space, a token added to the vocabulary such as an
+end-of-text mark) are encoded whole. Ids are those of the library as it is: such a mark in a text has its own id.
 """
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 import numpy as np
@@ -41,7 +43,9 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        added = [x.content for x in self.tok.get_added_tokens_decoder().values()]
+        #: Finds an added token in a text; matches nothing where the vocabulary has none.
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.memo: dict[str, bytes] = {}
         self.ends = dict(zip(",.", self._ids([",", "."]), strict=True))
         self.size = memo
@@ -65,7 +69,7 @@ class Encoder:
         for t in texts:
             if not t:
                 parts.append([])
-            elif in_pieces(t):
+            elif in_pieces(t) and not self.added.search(t):
                 parts.append(f"\n{t}".replace("\n", " \n").split(" ")[1:])
             else:
                 parts.append(None)

@@ -13,7 +13,6 @@ END = 2
 def whole(texts):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokens.vocabulary_path())
-    tok.encode_special_tokens = True
     return [tok.encode(t or "", add_special_tokens=False).ids + [END] for t in texts]
 
 
@@ -24,6 +23,13 @@ def test_pieces_give_the_ids_of_whole_texts(texts):
     assert [g.tolist() + [END] for g in got] == whole(texts)
 
 
+def test_added_tokens_have_their_own_ids():
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b c", "x <|endoftext| > y", "plain words here"]
+    got = tokens.encoder(tokens.vocabulary_path(), 20)(texts)
+    assert [g.tolist() + [END] for g in got] == whole(texts)
+    assert got[0].tolist() == [31373, 220, 50256, 995] and [(g == 50256).sum() for g in got] == [1, 1, 1, 0, 0]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), min_size=1), st.integers(40, 60))
 def test_fullest_is_the_best_subset_sum(counts, room):
