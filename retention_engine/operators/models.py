@@ -140,24 +140,24 @@ def permutation_importance(model: PipelineModel, val: DataFrame, features: Seque
                            id_col: str = "customer_id", repeats: int = 10, seed: str = "perm") -> DataFrame:
     """AP drop when one original column is shuffled across rows (mean ± std over repeats).
 
-    All (feature, repeat) variants are built as one union and scored in one pass; AP is one grouped
-    aggregate. A shuffle pairs the k-th row in id order with the k-th row in a seeded hash order —
-    exact global ranks from :func:`ranking.running_totals`, so no row set collects in one task.
+    All (feature, repeat) variants are rows of one frame, ranked, joined and scored in one pass whatever the number of
+    columns; AP is one grouped aggregate. A shuffle pairs the k-th row in id order with the k-th row in a seeded hash order —
+    exact global ranks from :func:`ranking.running_totals`, so no row set collects in one task. Both sides of the pairing
+    have every row features × repeats times, so it is a merge join: neither is ever sent whole through the driver.
     """
     base = score(model, val).withColumn("_y", F.col(label))
     base_ap = average_precision(base, "probability", "_y").withColumnRenamed("ap", "base_ap")
     ranked_id = running_totals(val.withColumn("_k", F.col(id_col)), "_k").withColumnRenamed("_rn", "_pos").drop("_k")
-    reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("rep")
-    variants = None
-    for f in features:
-        d = val.select(id_col, f, reps)
-        h = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(f"{seed}:{f}"),
-                                                 F.col("rep").cast("string"))), 1, 15), 16, 10).cast("long")
-        donors = running_totals(d.withColumn("_h", h), "_h", by=["rep"], tiebreak=[id_col]) \
-            .select("rep", F.col("_rn").alias("_pos"), F.col(f).alias("_donor"))
-        v = ranked_id.select("*", reps).join(donors, ["rep", "_pos"]) \
-            .withColumn(f, F.col("_donor")).drop("_donor", "_pos").withColumn("feature", F.lit(f))
-        variants = v if variants is None else variants.unionByName(v)
+    drawn = lambda d: d.withColumn("feature", F.explode(F.array(*map(F.lit, features)))).withColumn(
+        "rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.concat(F.lit(f"{seed}:"), "feature"),
+                                             F.col("rep").cast("string"))), 1, 15), 16, 10).cast("long")
+    own = F.struct(*[F.when(F.col("feature") == f, F.col(f)).alias(f) for f in features])       # the drawn column alone travels
+    donors = running_totals(drawn(val.select(id_col, *features)).select(id_col, "feature", "rep", own.alias("_donor"), h.alias("_h")),
+                            "_h", by=["feature", "rep"], tiebreak=[id_col]) \
+        .select("feature", "rep", F.col("_rn").alias("_pos"), "_donor")
+    variants = drawn(ranked_id).join(donors.hint("merge"), ["feature", "rep", "_pos"])
+    variants = variants.withColumns({f: F.when(F.col("feature") == f, F.col(f"_donor.{f}")).otherwise(F.col(f)) for f in features}).drop("_donor", "_pos")
     s = score(model, variants)
     ap = average_precision(s.withColumn("_y", F.col(label)), "probability", "_y", by=["feature", "rep"])
     j = with_row(ap, base_ap)
