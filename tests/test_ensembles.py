@@ -65,3 +65,13 @@ def test_bootstrap_weights_are_poisson(spark):
     assert abs(np.mean(w) - 1) < 0.03 and abs(np.var(w) - 1) < 0.05 and abs(np.mean(np.array(w) == 0) - math.exp(-1)) < 0.02
     again = spark.range(20000).repartition(7).select("id", EN.bootstrap_weight("id", 3).alias("w")).orderBy("id")
     assert [r["w"] for r in again.collect()] == w and spark.range(50).where(EN.bootstrap_weight("id", 3) != EN.bootstrap_weight("id", 4)).count() > 5
+
+
+def test_deep_trees_keep_the_rows_nodes(spark, data):
+    one = data.coalesce(1).persist()
+    for kind, kw in (("tree", {}), ("rf", {"numTrees": 4})):
+        grower = MD.classifier(kind, 600, label="label", **kw)
+        assert grower.getCacheNodeIds()
+        walked = grower.copy().setCacheNodeIds(False).fit(one)
+        names = lambda m: m.toDebugString.split("\n", 1)[1]  # noqa: E731  (the first line has the model's uid)
+        assert names(grower.fit(one)) == names(walked)
