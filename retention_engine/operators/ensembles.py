@@ -87,16 +87,13 @@ class Stopped:
 
 
 def fit_boosting(setting: str, fit: DataFrame, holdout: DataFrame, label: str = "label", seed: int = 42) -> Stopped:
-    """A setting of the catalogue fitted on ``fit``; with patience, stopped by the average precision on ``holdout``."""
+    """A setting of the catalogue fitted on ``fit``; with patience, stopped by the average precision on ``holdout``. ``fit``
+    may be read twice, and several settings may be fitted on it at a time: it is left as the caller keeps it."""
     patience = BOOSTING[setting][4]
-    fit = fit.persist()
-    try:
-        model = boosting(setting, label, seed=seed).fit(fit)
-        scores = staged_precision(model, holdout, label)
-        rounds = stop_at(scores, patience) if patience else len(scores)
-        return Stopped(model if rounds == len(scores) else boosting(setting, label, rounds, seed).fit(fit), rounds, scores)
-    finally:
-        fit.unpersist()
+    model = boosting(setting, label, seed=seed).fit(fit)
+    scores = staged_precision(model, holdout, label)
+    rounds = stop_at(scores, patience) if patience else len(scores)
+    return Stopped(model if rounds == len(scores) else boosting(setting, label, rounds, seed).fit(fit), rounds, scores)
 
 
 def bootstrap_weight(id_col: str, replicate: int, seed: str = SEED) -> Column:

@@ -1,6 +1,8 @@
 """Model queries (rows-only checks: fitted models have no SQL oracle) — M-A…M-M, V4, V11, G3–G5, Q7."""
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
@@ -376,9 +378,12 @@ def q_boosting_settings(spark, sf_dir):
     encoder = _encoder(parts.where("part = 'fit'"))
     vectors = lambda d: encoder.transform(d).select("features", F.col(LABEL).cast("double").alias("label"))
     fit, hold, val = vectors(parts.where("part = 'fit'")), vectors(parts.where("part <> 'fit'")), vectors(va)
+    fit = fit.persist()
+    with ThreadPoolExecutor(max_workers=len(EN.BOOSTING)) as pool:              # ordinary distributed fits, at the same time
+        fitted = list(pool.map(lambda setting: EN.fit_boosting(setting, fit, hold), EN.BOOSTING))
+    fit.unpersist()
     out = None
-    for setting in EN.BOOSTING:
-        got = EN.fit_boosting(setting, fit, hold)
+    for setting, got in zip(EN.BOOSTING, fitted, strict=True):
         scored = MD.score(got.model, val).withColumnRenamed("probability", "p")
         row = with_row(M.average_precision(scored, "p", "label"), M.point_metrics(scored, "p", "label", 0.5).select("brier"))
         row = row.select(F.lit(setting).alias("setting"), F.lit(len(got.scores)).alias("fitted"), F.lit(got.rounds).alias("kept"),
@@ -422,10 +427,13 @@ def q_model_variance(spark, sf_dir):
     fit = fit.persist()
     n, width = fit.count(), len(encoder.stages[0].feature_names())
     lr = lambda data, **kw: MD.classifier("lr", n, label="label", tol=1e-6, **kw).fit(data)
-    families = {
-        "network, seeds": [MD.classifier("mlp", n, label="label", seed=s, layers=[width, 16, 2]).fit(fit) for s in SEEDS],
-        "lr, repeated": [lr(fit) for _ in SEEDS],
-        "lr, resamples": [lr(fit.withColumn("w", EN.bootstrap_weight("customer_id", b)).where("w > 0"), weight_col="w") for b in range(10)]}
+    fits = {
+        "network, seeds": [lambda s=s: MD.classifier("mlp", n, label="label", seed=s, layers=[width, 16, 2]).fit(fit) for s in SEEDS],
+        "lr, repeated": [lambda: lr(fit) for _ in SEEDS],
+        "lr, resamples": [lambda b=b: lr(fit.withColumn("w", EN.bootstrap_weight("customer_id", b)).where("w > 0"), weight_col="w") for b in range(10)]}
+    with ThreadPoolExecutor(max_workers=8) as pool:                             # ordinary distributed fits, at the same time
+        waiting = {name: [pool.submit(f) for f in some] for name, some in fits.items()}
+        families = {name: [w.result() for w in some] for name, some in waiting.items()}
     out = None
     for name, models in families.items():
         row = EN.spread(EN.score_all(models, val), 0.29).select(F.lit(name).alias("family"), F.lit(len(models)).alias("models"), "*")

@@ -75,3 +75,13 @@ def test_deep_trees_keep_the_rows_nodes(spark, data):
         walked = grower.copy().setCacheNodeIds(False).fit(one)
         names = lambda m: m.toDebugString.split("\n", 1)[1]  # noqa: E731  (the first line has the model's uid)
         assert names(grower.fit(one)) == names(walked)
+
+
+def test_settings_fitted_at_the_same_time_leave_the_rows_kept(spark):
+    """Before, the first setting that ended dropped the rows from the memory of those still at work."""
+    from pyspark.ml.linalg import Vectors
+    rows = [(float(i % 3 == 0), Vectors.dense([float(i % 7), float(i % 3) + (i % 5) / 10])) for i in range(400)]
+    fit = spark.createDataFrame(rows, ["label", "features"]).persist()
+    EN.fit_boosting("tuned, early stop", fit, fit)
+    assert fit.storageLevel.useMemory
+    fit.unpersist()
