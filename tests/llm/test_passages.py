@@ -173,3 +173,59 @@ def test_recall_of_edited_passages(spark):
     hits = {kind: sum(d in got for d, x in kinds.items() if x == kind) / 40 for kind in kinds.values()}
     print(hits)
     assert min(hits.values()) >= 0.9 and sum(hits.values()) / len(hits) >= 0.95, hits
+
+
+def test_passages_behind_a_seed_of_many_documents(spark, monkeypatch):
+    """Pairs whose one common run of five words or more is a phrase of 300 documents, owned by none of them."""
+    rnd = random.Random(21)
+    own = lambda n: text(rnd, n, 10**6)
+
+    def five():
+        """Five words that are no seed."""
+        while True:
+            w = own(5)
+            data = np.frombuffer(" ".join(w).encode(), np.uint8)
+            if not P.is_seed(P.split_words(data, np.array([0, len(data)]), P.whitespace_mask(), lower=True).hash, np.array([0]), 5)[0]:
+                return w
+
+    phrase = own(9)
+    docs = {i: own(30) + phrase + own(30) for i in range(240)}
+    for i in range(1000, 1060, 2):
+        before, after = [five() for _ in range(4)], [five() for _ in range(4)]
+        for j in (i, i + 1):
+            docs[j] = own(20) + [x for w in before for x in w + own(1)] + phrase + [x for w in after for x in own(1) + w] + own(20)
+    # The same with a word more in one of them, in the phrase.
+    twice = own(10)
+    docs |= {i: own(30) + twice + own(5) + phrase + own(30) for i in range(240, 260)}
+    x, y = own(14), own(14)
+    docs |= {2000: own(9) + x + twice + phrase + y, 2001: own(7) + x + twice + ["more"] + phrase + y}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(P, "BLOCK", 40)  # the phrase takes several blocks
+    got = {(r["doc_id"], r["source_id"]) for r in P.repeats(df).collect()}
+    assert got == {(i + 1, i) for i in (*range(1000, 1060, 2), 2000)}
+
+
+def test_alike_places_against_plain_counts():
+    from collections import Counter
+    rng = np.random.default_rng(5)
+    windows = [rng.integers(0, 3, rng.integers(0, 40)).astype("<u2").tobytes() for _ in range(120)]
+    unit = np.sort(rng.integers(0, 30, 120))
+    runs = [Counter(w[2 * i:2 * i + 8] for i in range(len(w) // 2 - 3)) for w in windows]
+    alike = {(x, y) for x in range(120) for y in range(120) if (runs[x] & runs[y]).total() >= P.LEAST_RUNS}
+    row, value = P.run_tokens(windows)
+    codes = P.alike_in_units(unit, row, value)
+    assert {(int(c // 120), int(c % 120)) for c in codes} == {(x, y) for x, y in alike if x < y and unit[x] == unit[y]}
+    left = np.arange(0, 120, 3)
+    got = {(int(x), int(y)) for a, b in P.alike_in_unit(left, np.arange(120), row, value) for x, y in zip(a, b, strict=True)}
+    assert {(x, y) for x, y in alike if x % 3 == 0 and y < x} <= got <= alike
+
+
+def test_stretch_around_a_seed():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        same = rng.random(95) < rng.choice([0.6, 0.8, 0.9])
+        same[45:50] = True
+        v = np.where(same, 1, -4)
+        sums = [(int(v[s:e].sum()), s, e) for s in range(46) for e in range(50, 96)]
+        top = max(sums)[0]
+        assert P.around_seed(same[None], 5)[0] == (min(e - s for t, s, e in sums if t == top) >= P.LEAST_WORDS)
