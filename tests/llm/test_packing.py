@@ -30,6 +30,25 @@ def test_added_tokens_have_their_own_ids():
     assert got[0].tolist() == [31373, 220, 50256, 995] and [(g == 50256).sum() for g in got] == [1, 1, 1, 0, 0]
 
 
+def test_new_pieces_go_to_the_library_many_at_a_time():
+    class Counting:
+        calls = 0
+
+        def __getattr__(self, name):
+            return getattr(tok, name)
+
+        def encode_batch_fast(self, texts, **kw):
+            Counting.calls += len(texts)
+            return tok.encode_batch_fast(texts, **kw)
+
+    texts = [" ".join(f"w{chr(97 + i % 26)}{i}x{j}," for j in range(50)) + f"\né{i} 'tis -5 #a" for i in range(20)]
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    tok, enc.tok = enc.tok, Counting()
+    got = enc([None, *texts, ""])
+    assert [g.tolist() + [END] for g in got] == whole([None, *texts, ""])
+    assert Counting.calls < 100  # 1020 different pieces
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), min_size=1), st.integers(40, 60))
 def test_fullest_is_the_best_subset_sum(counts, room):
