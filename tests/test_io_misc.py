@@ -1,5 +1,6 @@
 """Sinks, run tracking, flattening, random search, encoding guard."""
 import os
+import re
 import tempfile
 
 import pytest
@@ -51,3 +52,22 @@ def test_poisson_bootstrap_weights_mean_one(spark):
     w = poisson_bootstrap_weights(d, 5)
     tot = w.groupBy("replicate").agg(F.sum("weight").alias("s")).collect()
     assert len(tot) == 5 and all(1800 < r["s"] < 2200 for r in tot)
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    import time
+
+    from retention_engine.session import SHUFFLE_CLEANUP, materialize
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(" ")))
+
+    before, setting = shuffled(), spark.conf.get(SHUFFLE_CLEANUP)
+    made = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "k"), "shuffled")
+    end = time.time() + 10
+    while shuffled() - before and time.time() < end:  # they go in the background
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert sorted(map(tuple, made.collect())) == [(k, len(range(k, 1000, 7))) for k in range(7)]
