@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .common import batch_rows, components, leave_memos, mix, shingles, slices, split_words, whitespace_mask
 
 NGRAM, PERCENT = 4, 85
@@ -178,7 +178,7 @@ def similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, ngram: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) of nodes that link. Only texts of nodes in a pair are read into sets and shuffled."""
+    """The pairs (a, b) of nodes that link, written. Only texts of nodes in a pair are read into sets and shuffled."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             # Another text with the same id is not the node's.
@@ -200,7 +200,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, ngram: int, perc
     found = docs.join(ids, "doc_id").select("node", "text").mapInArrow(sets, "node long, `set` binary")
     found = materialize(found, f"{name}-sets")
     left, right = (found.select(F.col("node").alias(n), F.col("set").alias(f"set_{n}")) for n in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(decide, "a long, b long")
+    links = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(decide, "a long, b long")
+    links = materialize(links, f"{name}-links")
+    discard(pairs, needed, found)
+    return links
 
 
 def _need(s: Column, t: Column, percent: int) -> Column:
@@ -228,16 +231,19 @@ def _in_place(one: str, two: str, percent: int) -> Column:
 
 
 def _mixed(shared: DataFrame, every: DataFrame) -> DataFrame:
-    """Entries (gram, node, size, at, parities, c, main) of the n-grams that sets of several components hold; ``main``: the largest."""
+    """Entries (gram, node, size, at, parities, c, main), written, of the n-grams that sets of several components hold; ``main``: the largest."""
     placed = shared.join(every, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     placed = materialize(placed, "jaccard-placed")
     main = placed.groupBy("gram", "c").count().groupBy("gram").agg(
         F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return materialize(placed.join(materialize(main, "jaccard-main"), "gram"), "jaccard-mixed")
+    main = materialize(main, "jaccard-main")
+    mixed = materialize(placed.join(main, "gram"), "jaccard-mixed")
+    discard(placed, main)
+    return mixed
 
 
 def _partners(mixed: DataFrame, turn: int, percent: int, done: DataFrame | None) -> DataFrame:
-    """One pair (a, b) for each node, with the leader of another component whose parities differ least."""
+    """One pair (a, b) for each node, written, with the leader of another component whose parities differ least."""
     if turn == 0:
         part = mixed.groupBy("node", "size").agg((F.count("*") / F.col("size")).alias("w")).select("node", "w")
         ranked = mixed.join(part, "node")
@@ -252,7 +258,9 @@ def _partners(mixed: DataFrame, turn: int, percent: int, done: DataFrame | None)
     if done is not None:
         found = found.join(done, ["a", "b"], "left_anti")
     best = found.groupBy("node").agg(F.min_by(F.struct("a", "b"), F.struct("differ", "leader")).alias("p"))
-    return best.select("p.a", "p.b").distinct()
+    pairs = materialize(best.select("p.a", "p.b").distinct(), f"jaccard-pairs-{turn}")
+    discard(leader)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
@@ -269,24 +277,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _prefixes(rank, ngram, percent), "gram long, node long, size int, at int"), "jaccard-prefixes")
     often = prefix.groupBy("gram").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("gram")
     # Sums are written before they are joined: a join straight on two shuffles is one that Spark can split.
-    shared = materialize(prefix.join(materialize(often, "jaccard-often"), "gram"), "jaccard-twice")
-    shared = materialize(shared.distinct(), "jaccard-once")
-    shared = materialize(shared.join(reps.select("node", *PARITIES), "node"), "jaccard-shared")
+    often = materialize(often, "jaccard-often")
+    twice = materialize(prefix.join(often, "gram"), "jaccard-twice")
+    discard(prefix, often)
+    once = materialize(twice.distinct(), "jaccard-once")
+    discard(twice)
+    shared = materialize(once.join(reps.select("node", *PARITIES), "node"), "jaccard-shared")
+    discard(once)
 
     links = pairs = None
     every = docs.sparkSession.createDataFrame([], "node long, component long")
     for turn in range(ROUNDS):
         mixed = _mixed(shared, every)
-        new = materialize(_partners(mixed, turn, percent, pairs), f"jaccard-pairs-{turn}")
+        new = _partners(mixed, turn, percent, pairs)
+        discard(mixed)
         if new.isEmpty():
             break
-        found = materialize(_verify(new, rows, reps, ngram, percent, f"turn-{turn}"), f"jaccard-links-{turn}")
+        found = _verify(new, rows, reps, ngram, percent, f"turn-{turn}")
         links = found if links is None else links.unionByName(found)
         pairs = new if pairs is None else pairs.unionByName(new)
         every = components(links, "a", "b", "jaccard")
 
     # Then all pairs that share an n-gram and no component and pass the filters, once for each n-gram where they do.
     mixed = _mixed(shared, every)
+    discard(shared)
     x, y = mixed.where("c <> main").alias("x"), mixed.alias("y")
     once = (F.col("y.c") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     rest = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") != F.col("y.c")) & once
@@ -295,6 +309,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if pairs is not None:
         rest = rest.join(pairs, ["a", "b"], "left_anti")
     more = _verify(rest, rows, reps, ngram, percent, "rest")
+    discard(mixed)
     every = components(more if links is None else links.unionByName(more), "a", "b", "jaccard-all")
 
     # A component's name is its smallest id; a node that links with nothing has its copies.

@@ -229,3 +229,51 @@ def test_stretch_around_a_seed():
         sums = [(int(v[s:e].sum()), s, e) for s in range(46) for e in range(50, 96)]
         top = max(sums)[0]
         assert P.around_seed(same[None], 5)[0] == (min(e - s for t, s, e in sums if t == top) >= P.LEAST_WORDS)
+
+
+def test_agreeing_words_of_frames():
+    rng = np.random.default_rng(5)
+    for all_values in (False, True):
+        words = [rng.integers(0, 40, int(n)).astype("<u2") for n in rng.integers(5, 60, 30)]
+        pos = np.array([rng.integers(0, len(w) - 4) for w in words])
+        if all_values:  # no value of 16 bits is left to stand for no word
+            words, pos = [*words, np.arange(1 << 16).astype("<u2")[:95]], np.append(pos, 45)
+        frame, none = P.frames([w.tobytes() for w in words], pos, 5)
+        if all_values:
+            frame, none = frame.astype(np.uint32), 1 << 16
+            frame[frame == P.frames([w.tobytes() for w in words], pos, 5)[1]] = none
+        at = [{int(p - min(q, P.BEYOND)): int(x) for p, x in enumerate(w)} for w, q in zip(words, pos.tolist(), strict=True)]
+        x, y = np.divmod(np.arange(len(words) ** 2), len(words))
+        for skips in (0, P.MOST_SKIPS):
+            got = P.agrees(frame[x], frame[y], none, skips)
+            for i, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+                want = [j in at[a] and any(at[b].get(j + d) == at[a][j] for d in range(-skips, skips + 1)) for j in range(-P.BEYOND, P.BEYOND + 5)]
+                assert got[i].tolist() == want
+
+
+def test_only_the_passages_are_left_on_disk(spark):
+    """Every table between the steps is removed when the next ones stand, so what is kept does not add up."""
+    import os
+
+    from retention_engine.session import checkpoint_dir
+    rnd = random.Random(11)
+    common = text(rnd, 90)
+    docs = spark.createDataFrame([(i, " ".join(text(rnd, 30) + common[i:60 + i] + text(rnd, 30))) for i in range(12)], "doc_id long, text string")
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    found = P.repeats(docs)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
+    assert found.count() >= 11
+    assert left == {"owners-found", "rest-found"}
+
+
+def test_only_written_tables_are_discarded(spark, tmp_path):
+    from retention_engine.session import discard, materialize
+    table = materialize(spark.range(3), "some")
+    assert table.count() == 3
+    path = table.inputFiles()[0].removeprefix("file://")
+    discard(table)
+    import os
+    assert not os.path.exists(path) and not os.path.exists(os.path.dirname(path))
+    with pytest.raises(ValueError):
+        discard(spark.range(3))
